@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from linkwright.llm import sharding
+from linkwright.llm import quality_rules, sharding
 
 QUERIES = {
+    "op8_adaptive_rules": quality_rules.op8_adaptive_rules,
     "op9_byte_shards": sharding.op9_byte_shards,
 }
 
 SQL = {
+    "op8_adaptive_rules": quality_rules.OP8_SQL,
     "op9_byte_shards": sharding.OP9_SQL,
 }
