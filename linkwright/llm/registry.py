@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from linkwright.llm import quality_rules, sharding
+from linkwright.llm import license_scan, packing, quality_rules, sharding, url_filter
 
 QUERIES = {
+    "op2_license_dice": license_scan.op2_license_dice,
+    "op5_length_buckets": packing.op5_length_buckets,
+    "op10_host_graph": url_filter.op10_host_graph,
     "op8_adaptive_rules": quality_rules.op8_adaptive_rules,
     "op9_byte_shards": sharding.op9_byte_shards,
 }
