@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from linkwright.llm import license_scan, packing, quality_rules, sharding, url_filter
+from linkwright.llm import decontaminate, license_scan, packing, quality_rules, sharding, url_filter
 
 QUERIES = {
+    "op3_template_windows": decontaminate.op3_template_windows,
     "op2_license_dice": license_scan.op2_license_dice,
     "op5_length_buckets": packing.op5_length_buckets,
     "op10_host_graph": url_filter.op10_host_graph,
