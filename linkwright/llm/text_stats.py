@@ -16,7 +16,7 @@ def removed(text: Column, chars: str) -> Column:
     return (F.length(text) - F.length(F.translate(text, chars, ""))).cast("long")
 
 
-def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+def with_counts(docs: DataFrame, text: str = "text", distinct: bool = False) -> DataFrame:
     """Add the base counts of ``text`` to each row (all long; 0 for null texts).
 
     n_words, word_chars (code points in words), n_symbols, n_lines (lines with a
@@ -28,7 +28,8 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     the text's word count needs, are its place; after sorting, windows with an
     equal neighbour are the repeated ones.  The hash keeps 64 bits less those of
     the word count, so that two unlike windows of a text of 20,000 words agree
-    with a chance of about 4e-7.
+    with a chance of about 4e-7.  With ``distinct``, n_distinct counts unlike words
+    by their 64-bit hashes.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(body, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -44,6 +45,8 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
             "_mask": F.expr("shiftleft(1L, length(bin(size(_words)))) - 1"),
         }
     ).drop("_words", "_lines")
+    if distinct:
+        out = out.withColumn("n_distinct", F.size(F.array_distinct("_hashes")).cast("long"))
     packed = F.transform(
         F.slice("_hashes", 1, F.greatest(F.col("n_words") - 2, F.lit(0)).cast("int")),
         lambda h, i: F.xxhash64(h, F.get("_hashes", i + 1), F.get("_hashes", i + 2)).bitwiseAND(F.bitwise_not("_mask")).bitwiseOR(i.cast("long")),
