@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from linkwright.llm import decontaminate, license_scan, packing, quality_classifier, quality_rules, sharding, toxicity, url_filter
+from linkwright.llm import class_lm, decontaminate, license_scan, packing, quality_classifier, quality_rules, sharding, toxicity, url_filter
 
 QUERIES = {
+    "op6_class_ngrams": class_lm.op6_class_ngrams,
     "op4_classifier_chain": toxicity.op4_classifier_chain,
     "op7_quadratic_discriminant": quality_classifier.op7_quadratic_discriminant,
     "op3_template_windows": decontaminate.op3_template_windows,
