@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from linkwright.llm import class_lm, decontaminate, license_scan, packing, quality_classifier, quality_rules, sharding, toxicity, url_filter
+from linkwright.llm import class_lm, decontaminate, license_scan, near_dups, packing, quality_classifier, quality_rules, sharding, toxicity, url_filter
 
 QUERIES = {
+    "op1_chosen_path": near_dups.op1_chosen_path,
     "op6_class_ngrams": class_lm.op6_class_ngrams,
     "op4_classifier_chain": toxicity.op4_classifier_chain,
     "op7_quadratic_discriminant": quality_classifier.op7_quadratic_discriminant,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op1_chosen_path": near_dups.OP1_SQL,
     "op8_adaptive_rules": quality_rules.OP8_SQL,
     "op9_byte_shards": sharding.OP9_SQL,
 }
