@@ -85,3 +85,15 @@ def prefix_totals(df: DataFrame, order: list[str], sums: dict[str, str], parts:
     out = dealt.join(F.broadcast(totals), "_part")  # as many rows as partitions
     out = out.withColumns({k: F.col(f"_b_{k}") + F.coalesce(F.sum(f"_w_{k}").over(inside), F.lit(0)) for k in sums})
     return out.drop("_part", "_row", *[f"_{x}_{k}" for k in sums for x in "wb"])
+
+
+#: Tables of ids of up to so many rows are broadcast, larger ones are joined by shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def without_ids(docs: DataFrame, bad: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
+    """The rows of ``docs`` whose doc_id isn't in ``bad``, with all their columns; null ids match null ids."""
+    bad = cut(bad.select(F.col("doc_id").alias("_bad")).distinct())
+    if bad.count() <= limit:
+        bad = F.broadcast(bad)
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import cut, only, table
+from linkwright.llm.common import cut, only, table, without_ids
 
 #: Canonical tokens in a window; an item with fewer is one window of all its tokens.
 WINDOW = 8
@@ -130,9 +130,7 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_shar
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no leaked item, with all their columns."""
-    bad = find_items(docs, items).filter("leaked").select("doc_id").distinct()
-    bad = bad.withColumnRenamed("doc_id", "_bad")
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    return without_ids(docs, find_items(docs, items).filter("leaked"))
 
 
 def op3_template_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import UPPER, crc_of_id, cut, only, table
+from linkwright.llm.common import UPPER, crc_of_id, cut, only, table, without_ids
 from linkwright.llm.text_stats import removed, with_counts
 
 #: Labelled rows to fit on at most: those of least hash of the id.
@@ -150,8 +150,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAI
 
 def only_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are predicted to be of quality, with all their columns."""
-    bad = quality_scores(docs, labels).filter("predicted = 0").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    return without_ids(docs, quality_scores(docs, labels).filter("predicted = 0"))
 
 
 def op7_quadratic_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import only, table
+from linkwright.llm.common import only, table, without_ids
 from linkwright.llm.linear import Rows, fit_logistic, sigmoid
 
 #: Labelled rows to fit on at most (those of least hash of the id), and features at most.
@@ -195,8 +195,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRES
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that aren't toxic, with all their columns."""
-    bad = toxicity_scores(docs, labels).filter("is_toxic").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    return without_ids(docs, toxicity_scores(docs, labels).filter("is_toxic"))
 
 
 def op4_classifier_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
