@@ -36,7 +36,8 @@ def listed(values: Iterable[str]) -> Column:
 
 
 def mapping(values: dict[str, str]) -> Column:
-    return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
+    """A constant map; one expression whatever its size."""
+    return F.str_to_map(F.lit("\x1e".join(f"{k}\x1d{v}" for k, v in values.items())), F.lit("\x1e"), F.lit("\x1d"))
 
 
 def first_or_empty(c: Column) -> Column:
@@ -127,36 +128,28 @@ DOMAIN = r"(?i)^\s*(?:https?://)?(?:www\.)?([a-z0-9][a-z0-9\-]*)\.(?:%s)\s*/?\s*
 DOTTED = r"\b([A-Za-z])\.(?=[A-Za-z]\.)|(?<=\b[A-Za-z]\.)([A-Za-z])\."
 
 
-def name_fields(raw: Column) -> dict[str, Column]:
-    """The normal forms of a name, as nested expressions to be selected in one step each.
-
-    Returns the stages in order: later ones refer to earlier columns by name.
-    """
-    host = F.regexp_extract("_n", DOMAIN, 1)
+def name_fields(raw: Column) -> list[dict[str, Column]]:
+    """The normal forms of a name, in layers: each refers to the columns of those before it."""
     toks = F.col("_toks")
-    core = F.filter(toks, lambda t: ~t.isin([*L.LEGAL, *L.DROPPED]))
-    plain = F.filter(toks, lambda t: ~t.isin(L.DROPPED))
-    compact = joined(F.col("_core"), "")
+    compact = F.col("_compact")
     cut = compact
     for tail in reversed(L.DOMAIN_TAILS):
-        cut = F.when(compact.endswith(tail) & (F.length(compact) > len(tail) + 2), F.expr(f"left(_compact, length(_compact) - {len(tail)})")).otherwise(cut)
-    return {
-        "name_script": script_of(text(raw)),
-        "_n": F.when(F.col("name_script") != "latin", romanise(text(raw))).otherwise(text(raw)),
-        "_host": host,
-        "name_is_domain": (F.col("_host") != "").cast("int"),
-        "_named": F.regexp_replace(F.when(F.col("_host") != "", F.replace("_host", F.lit("-"), F.lit(" "))).otherwise(F.col("_n")), DOTTED, "$1$2"),
-        "_toks": tokens(fix_digits(base_clean(F.col("_named")))),
-        "_kept": core,
-        "_plain": plain,
-        "_core": F.when(F.size("_kept") > 0, F.col("_kept")).when(F.size("_plain") > 0, F.col("_plain")).otherwise(toks),
-        "_compact": compact,
-        "name_norm": joined(toks),
-        "name_core": joined(F.col("_core")),
-        "name_key": distinct_sorted(F.col("_core")),
-        "name_compact": F.when(F.col("name_is_domain") == 1, cut).otherwise(F.col("_compact")),
-        "legal": joined(F.sort_array(F.array_intersect(toks, listed(L.LEGAL)))),
-    }
+        cut = F.when(compact.endswith(tail) & (F.length(compact) > len(tail) + 2), F.left(compact, F.length(compact) - len(tail))).otherwise(cut)
+    named = F.when(F.col("_host") != "", F.replace("_host", F.lit("-"), F.lit(" "))).otherwise(F.col("_n"))
+    return [
+        {"name_script": script_of(text(raw))},
+        {"_n": F.when(F.col("name_script") != "latin", romanise(text(raw))).otherwise(text(raw))},
+        {"_host": F.regexp_extract("_n", DOMAIN, 1)},
+        {"name_is_domain": (F.col("_host") != "").cast("int"), "_toks": tokens(fix_digits(base_clean(F.regexp_replace(named, DOTTED, "$1$2"))))},
+        {"_kept": F.filter(toks, lambda t: ~t.isin([*L.LEGAL, *L.DROPPED])), "_plain": F.filter(toks, lambda t: ~t.isin(L.DROPPED))},
+        {"_core": F.when(F.size("_kept") > 0, F.col("_kept")).when(F.size("_plain") > 0, F.col("_plain")).otherwise(toks)},
+        {"_compact": joined(F.col("_core"), "")},
+        {
+            "name_norm": joined(toks), "name_core": joined(F.col("_core")), "name_key": distinct_sorted(F.col("_core")),
+            "name_compact": F.when(F.col("name_is_domain") == 1, cut).otherwise(compact),
+            "legal": joined(F.sort_array(F.array_intersect(toks, listed(L.LEGAL)))),
+        },
+    ]
 
 
 LABEL = r"(?U)\b(?:h\s*\.?\s*no|house\s*no|door\s*no|dor\s*no|flat\s*no|plot\s*no|shop\s*no)\b\.?"
@@ -181,8 +174,8 @@ def postal_of(toks: Column) -> Column:
     return F.coalesce(six, F.get(F.filter(toks, five), F.lit(0)))
 
 
-def address_fields(raw: Column) -> dict[str, Column]:
-    """The normal forms of an address; stages in order as in ``name_fields``."""
+def address_fields(raw: Column) -> list[dict[str, Column]]:
+    """The normal forms of an address, in layers as in ``name_fields``."""
     s = F.when(script_of(text(raw)) != "latin", romanise(text(raw))).otherwise(text(raw))
     s = F.regexp_replace(F.replace(unaccent(s), F.lit("#"), F.lit(" ")), LABEL, " ")
     forms, states = mapping(L.ADDRESS_FORMS), mapping(L.STATES)
@@ -191,23 +184,22 @@ def address_fields(raw: Column) -> dict[str, Column]:
     known = lambda k: F.coalesce(F.get(F.filter(F.slice("_postals", 1, k + 1), lambda p: p.isNotNull()), F.lit(0)), F.lit(""))
     numbers = lambda toks, k: F.filter(toks, lambda t: t.rlike(DIGITS) & (t != known(k)))
     on_street = F.filter("_nums", lambda n, k: (F.size(n) > 0) & F.arrays_overlap(F.get("_segs", k), listed(L.STREET_WORDS)))
-    return {
-        "_parts": F.filter(F.transform(F.split(s, ","), only_letters), lambda x: x != ""),
-        "_named": F.transform("_parts", lambda x: F.coalesce(F.try_element_at(states, x), x)),
-        "state": first_or_empty(F.filter("_named", lambda x: x.isin(L.STATE_CODES))),
-        "_raw": F.transform("_named", lambda x: F.transform(F.filter(F.split(x, " "), lambda t: ~t.isin(L.ADDRESS_NOISE)), canon)),
-        "_postals": F.transform("_raw", postal_of),
-        "postal": first_or_empty(F.filter("_postals", lambda p: p.isNotNull())),
-        "_segs": F.transform("_raw", lambda toks: F.transform(toks, unpadded)),
-        "_nums": F.transform("_segs", numbers),
-        "_all": F.flatten("_nums"),
-        "_words": F.flatten("_segs"),
-        "house_no": F.coalesce(F.get(F.get(on_street, F.lit(0)), F.lit(0)), F.get("_all", F.lit(0)), F.lit("")),
-        "addr_norm": joined(F.col("_words")),
-        "addr_key": distinct_sorted(F.col("_words")),
-        "numbers": distinct_sorted(F.col("_all")),
-        "addr_empty": (F.size("_words") == 0).cast("int"),
-    }
+    return [
+        {"_parts": F.filter(F.transform(F.split(s, ","), only_letters), lambda x: x != "")},
+        {"_named": F.transform("_parts", lambda x: F.coalesce(F.try_element_at(states, x), x))},
+        {
+            "state": first_or_empty(F.filter("_named", lambda x: x.isin(L.STATE_CODES))),
+            "_raw": F.transform("_named", lambda x: F.transform(F.filter(F.split(x, " "), lambda t: ~t.isin(L.ADDRESS_NOISE)), canon)),
+        },
+        {"_postals": F.transform("_raw", postal_of), "_segs": F.transform("_raw", lambda toks: F.transform(toks, unpadded))},
+        {"postal": first_or_empty(F.filter("_postals", lambda p: p.isNotNull())), "_nums": F.transform("_segs", numbers), "_words": F.flatten("_segs")},
+        {"_all": F.flatten("_nums")},
+        {
+            "house_no": F.coalesce(F.get(F.get(on_street, F.lit(0)), F.lit(0)), F.get("_all", F.lit(0)), F.lit("")),
+            "addr_norm": joined(F.col("_words")), "addr_key": distinct_sorted(F.col("_words")), "numbers": distinct_sorted(F.col("_all")),
+            "addr_empty": (F.size("_words") == 0).cast("int"),
+        },
+    ]
 
 
 # The older cleaner, which expands abbreviations.

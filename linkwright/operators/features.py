@@ -86,15 +86,11 @@ def context_features(df: DataFrame, scores: tuple[str, ...] = ("name_token_set",
 
 def older_features(pairs: DataFrame, records: DataFrame) -> DataFrame:
     """The older extractor's 12 features, from raw records; 0 rather than null for missing sides."""
-    df = sided(pairs, records, ["business_name", "business_address", "country"])
-    for p in "lr":
-        df = df.withColumns(
-            {
-                f"{p}_n": clean_name(F.col(f"{p}_business_name")), f"{p}_a": clean_address(F.col(f"{p}_business_address")),
-                f"{p}_c": F.upper(F.trim(text(F.col(f"{p}_country")))),
-                f"{p}_p": postal_code(F.col(f"{p}_business_address"), F.col(f"{p}_country")),
-            }
-        )
+    cleaned = records.select(
+        "entity_id", clean_name(F.col("business_name")).alias("n"), clean_address(F.col("business_address")).alias("a"),
+        F.upper(F.trim(text(F.col("country")))).alias("c"), postal_code(F.col("business_address"), F.col("country")).alias("p"),
+    )
+    df = sided(pairs, cleaned, ["n", "a", "c", "p"])
     df = df.withColumn("_f", similarities([("n", "ratio"), ("a", "ratio")], {x: (F.col(f"l_{x}"), F.col(f"r_{x}")) for x in "na"}))
     both = F.col("l_p").isNotNull() & F.col("r_p").isNotNull()
     out: dict[str, Column] = {"same_country": (F.col("l_c") != "") & (F.col("l_c") == F.col("r_c"))}

@@ -12,11 +12,11 @@ ADDRESS = ["addr_norm", "addr_key", "house_no", "numbers", "postal", "state", "a
 RECORD = ["entity_id", "country", *NAME, *ADDRESS]
 
 
-def staged(df: DataFrame, fields: dict[str, Column], keep: list[str]) -> DataFrame:
-    """Add fields one after another, so that each is computed once, and drop those not kept."""
-    for name, c in fields.items():
-        df = df.withColumn(name, c)
-    return df.drop(*[n for n in fields if n not in keep])
+def staged(df: DataFrame, layers: list[dict[str, Column]], keep: list[str]) -> DataFrame:
+    """Add layers of fields, so that each field is computed once, and drop those not kept."""
+    for layer in layers:
+        df = df.withColumns(layer)
+    return df.drop(*[n for layer in layers for n in layer if n not in keep])
 
 
 def with_name(df: DataFrame, column: str = "business_name") -> DataFrame:
