@@ -97,3 +97,17 @@ def without_ids(docs: DataFrame, bad: DataFrame, limit: int = BROADCAST_IDS) ->
     if bad.count() <= limit:
         bad = F.broadcast(bad)
     return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+
+
+class Sent:
+    """A value broadcast to the executors with the code of its classes."""
+
+    def __init__(self, spark: SparkSession, value: object):
+        from pyspark import cloudpickle
+
+        self.pickled = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def get(self) -> object:
+        import pickle
+
+        return pickle.loads(self.pickled.value)

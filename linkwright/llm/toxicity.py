@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import only, table, without_ids
+from linkwright.llm.common import Sent, only, table, without_ids
 from linkwright.llm.linear import Rows, fit_logistic, sigmoid
 
 #: Labelled rows to fit on at most (those of least hash of the id), and features at most.
@@ -177,14 +177,15 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRES
     """
     chain = train(docs, labels)
     names = [f"p_{c}" for c in CHAIN]
-    sent = docs.sparkSession.sparkContext.broadcast(chain)  # MAX_FEATURES words and weights
+    sent = Sent(docs.sparkSession, chain)  # MAX_FEATURES words and weights
 
     def scored(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        indexed = Indexed(sent.value.vocabulary)
+        chain = sent.get()
+        indexed = Indexed(chain.vocabulary)
         for b in batches:
-            p = sent.value.score(b.column("text").to_pylist(), indexed)
+            p = chain.score(b.column("text").to_pylist(), indexed)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *[pa.array(p[:, j]) for j in range(len(names))]], ["doc_id", *names])
 
     docs = only(docs, "doc_id", "text")
