@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linkwright.llm.common import only, table
 
@@ -142,4 +143,37 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, min_
 
 
 def op2_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_licenses(table(spark, sf_dir, "documents"))
+    out = scan_licenses(table(spark, sf_dir, "documents"))
+    return out.withColumn("licenses", F.array_join("licenses", ","))
+
+
+def _tokens_sql(text: str) -> str:
+    lowered = f"translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"list_transform(regexp_extract_all({lowered}, '[a-z0-9]+(?:[.-][a-z0-9]+)*'), lambda t: CASE t WHEN 'licence' THEN 'license' ELSE t END)"
+
+
+_PAIRS = "list_distinct(list_transform(range(1, len(ts)), lambda i: ts[i] || ' ' || ts[i + 1]))"
+_VALUES = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in TEMPLATES.items())
+OP2_SQL = f"""
+WITH templates AS (
+  SELECT name, len(bs) AS size, unnest(bs) AS b FROM (SELECT name, {_PAIRS} AS bs FROM (SELECT name, {_tokens_sql("body")} AS ts FROM (VALUES {_VALUES}) v(name, body)))),
+lines AS (
+  SELECT doc_id, i - 1 AS i, ls[i] AS line, len(ls) AS n, text
+  FROM (SELECT doc_id, text, string_split(text, chr(10)) AS ls, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents WHERE text IS NOT NULL)),
+solid AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run FROM lines WHERE trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''),
+runs AS (SELECT doc_id, min(i) AS i, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body, any_value(text) AS text, any_value(n) AS whole FROM solid GROUP BY doc_id, run),
+segments AS (
+  SELECT doc_id, i, 1 AS n, line AS body FROM solid
+  UNION ALL SELECT doc_id, i, n, body FROM runs WHERE n > 1
+  UNION ALL SELECT doc_id, 0, any_value(whole), any_value(text) FROM runs GROUP BY doc_id HAVING count(*) > 1),
+sets AS (SELECT doc_id, i, n, {_PAIRS} AS bs FROM (SELECT *, {_tokens_sql("body")} AS ts FROM segments)),
+hits AS (
+  SELECT doc_id, i, n, name, any_value(t.size) AS size, 2 * count(*) / (any_value(s.size) + any_value(t.size)) AS dice
+  FROM (SELECT doc_id, i, n, len(bs) AS size, unnest(bs) AS b FROM sets) s JOIN templates t USING (b)
+  GROUP BY doc_id, i, n, name HAVING dice >= {MIN_DICE}),
+best AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY dice DESC, size DESC, name, i, n) = 1),
+named AS (SELECT doc_id, string_agg(DISTINCT name, ',' ORDER BY name) AS names FROM hits GROUP BY doc_id)
+SELECT doc_id, name AS license, dice, i::INT AS first_line, n::INT AS n_lines, coalesce(names, '') AS licenses
+FROM documents LEFT JOIN best USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

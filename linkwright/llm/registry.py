@@ -18,6 +18,8 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_license_dice": license_scan.OP2_SQL,
+    "op10_host_graph": url_filter.OP10_SQL,
     "op1_chosen_path": near_dups.OP1_SQL,
     "op8_adaptive_rules": quality_rules.OP8_SQL,
     "op9_byte_shards": sharding.OP9_SQL,

@@ -127,3 +127,42 @@ def judge_pages(pages: DataFrame, rules=RULES, rounds: int = ROUNDS) -> DataFram
 
 def op10_host_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_pages(table(spark, sf_dir, "pages"))
+
+
+def _rule_sql() -> str:
+    rules = sorted(RULES, key=lambda r: -len(r[0] + r[1]))
+    case = lambda out: "CASE " + " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{out(h, p, v)}'" for h, p, v in rules) + " END"
+    return f"{case(lambda h, p, v: h + p)} AS rule, {case(lambda h, p, v: v)} AS judged"
+
+
+def _rank_sql(name: str, seeds: str, edges: str) -> str:
+    return f"""
+{name}(i, host, score) AS (
+  SELECT 0, host, mass FROM {seeds}
+  UNION ALL
+  SELECT i + 1, host, sum(score) FROM (
+    SELECT r.i, e.dst AS host, {DAMPING} * r.score * e.weight AS score FROM {name} r JOIN {edges} e ON r.host = e.src
+    UNION ALL SELECT k.i, s.host, {1 - DAMPING} * s.mass FROM {seeds} s, (SELECT DISTINCT i FROM {name}) k)
+  WHERE i < {ROUNDS} GROUP BY i, host)"""
+
+
+_HOST = "translate(regexp_extract(coalesce({}, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP10_SQL = f"""
+WITH RECURSIVE urls AS (
+  SELECT *, {_HOST.format("url")} AS host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+ruled AS (SELECT *, {_rule_sql()} FROM urls),
+links AS (
+  SELECT host AS src, translate(unnest(regexp_extract_all(html, '(?i)\\bhref\\s*=\\s*["'']?\\s*(?:https?:)?//([^/?#"''\\s>]+)', 1)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst FROM urls),
+counts AS (SELECT src, dst, count(*) AS n FROM links WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY ALL),
+edges AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS weight FROM counts),
+back AS (SELECT dst AS src, src AS dst, weight / sum(weight) OVER (PARTITION BY dst) AS weight FROM edges),
+hosts AS (SELECT host, count(*) FILTER (WHERE judged = 'allow') AS a, count(*) FILTER (WHERE judged = 'block') AS b FROM ruled WHERE host <> '' GROUP BY host),
+trusted AS (SELECT host, a / (SELECT sum(a + b) FROM hosts) AS mass FROM hosts WHERE a > 0),
+barred AS (SELECT host, b / (SELECT sum(a + b) FROM hosts) AS mass FROM hosts WHERE b > 0),
+{_rank_sql("trust", "trusted", "edges")}, {_rank_sql("distrust", "barred", "back")},
+bad AS (
+  SELECT d.host FROM distrust d LEFT JOIN trust t ON t.host = d.host AND t.i = {ROUNDS}
+  WHERE d.i = {ROUNDS} AND d.score > {RATIO} * coalesce(t.score, 0) AND d.score * 1e6 > {FLOOR})
+SELECT page_id, host, path, rule, coalesce(judged, CASE WHEN host IN (SELECT host FROM bad) THEN 'block' ELSE 'allow' END) AS verdict FROM ruled
+"""
