@@ -77,8 +77,8 @@ def unaccent(c: Column) -> Column:
     """Compatibility decomposition without combining Latin marks, then lower case."""
     one_from, one_to, many = decompositions()
     c = F.translate(c, one_from, one_to)
-    kinds = "".join(re.escape(ch) for ch in many if ch not in "̀́")
-    c = per_character(c, many, c.rlike(f"[{kinds}]"))
+    low = "".join(re.escape(ch) for ch in many if ch < "ɐ")
+    c = per_character(c, many, c.rlike(rf"[{low}\x{{0250}}-\x{{FFFF}}]"))  # a short class: texts in Latin letters pass at once
     return F.lower(F.regexp_replace(c, "[̀-ͯ]", ""))
 
 
