@@ -151,7 +151,7 @@ def pairs_cte(rules: tuple[blocking.Rule, ...], name: str = "rule_pairs") -> str
 
 COMBINED = "combined AS (SELECT s1_id, cand_id, count(*) AS n_rules, min(priority) AS best_priority, min(rule) AS first_rule FROM rule_pairs GROUP BY ALL)"
 RANKED = """ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY best_priority, n_rules DESC, first_rule, cand_id) - 1 AS rank FROM combined QUALIFY rank < 50)"""
+  SELECT *, (row_number() OVER (PARTITION BY s1_id ORDER BY best_priority, n_rules DESC, first_rule, cand_id) - 1)::INT AS rank FROM combined QUALIFY rank < 50)"""
 TRUTH = "truth AS (SELECT 'S1-' || p_partkey AS s1_id, 'S2-' || p_partkey AS cand_id FROM part)"
 BASE = f"""{pairs_cte(blocking.BASELINE)},
 base AS (
