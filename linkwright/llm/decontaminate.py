@@ -134,4 +134,4 @@ def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def op3_template_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).filter("leaked")
