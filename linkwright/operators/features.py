@@ -27,7 +27,7 @@ def sided(pairs: DataFrame, records: DataFrame, columns: list[str], check: bool
         lost = out.filter("l_found IS NULL OR r_found IS NULL").select("s1_id", "cand_id").limit(5).collect()
         if lost:
             raise ValueError(f"pairs with ids that have no record, such as {[tuple(r) for r in lost]}")
-    return out.drop("l_found", "r_found")
+    return out.select(*pairs.columns, *[f"{p}_{c}" for p in "lr" for c in columns])
 
 
 def pair_features(pairs: DataFrame, records: DataFrame, check: bool = False) -> DataFrame:

@@ -319,7 +319,7 @@ SELECT s1_id, cand_id, (a.name_key = b.name_key)::INT::DOUBLE AS key_eq, {_set_j
   CASE WHEN a.house_no <> '' AND b.house_no <> '' THEN (a.house_no <> b.house_no AND least(len(a.house_no), len(b.house_no)) >= 2
     AND CASE WHEN len(a.house_no) <= len(b.house_no) THEN ends_with(b.house_no, a.house_no) ELSE ends_with(a.house_no, b.house_no) END)::INT::DOUBLE END AS house_suffix,
   CASE WHEN a.house_no <> '' AND b.house_no <> '' THEN 1 - levenshtein(a.house_no, b.house_no) / greatest(len(a.house_no), len(b.house_no)) END AS house_sim,
-  CASE WHEN a.legal <> '' AND b.legal <> '' THEN 1.0 END AS legal_agree
+  CASE WHEN a.legal <> '' AND b.legal <> '' THEN 1.0::DOUBLE END AS legal_agree
 FROM base JOIN norm a ON a.entity_id = s1_id JOIN norm b ON b.entity_id = cand_id"""
 
 
