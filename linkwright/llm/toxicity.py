@@ -50,7 +50,7 @@ def of_text(text: str | None) -> Counter:
 class Indexed:
     """Maps texts to (feature ids, values); remembers the ids of seen words up to a bound."""
 
-    KEEP = 300_000
+    KEEP = 120_000
 
     def __init__(self, vocabulary: dict[str, int]):
         self.vocabulary, self.seen = vocabulary, {}
@@ -155,12 +155,16 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_fe
     kind = texts.schema["doc_id"].dataType.simpleString()
     got = texts.select("doc_id", "fold", *CHAIN, "text").mapInArrow(
         sparse, f"doc_id {kind}, fold long, {', '.join(f'{c} int' for c in CHAIN)}, ids array<int>, vals array<float>"
-    ).toArrow().sort_by("doc_id")
-    y = np.column_stack([got.column(c).to_numpy() for c in CHAIN]).astype(float)
-    ids, vals = got.column("ids").combine_chunks(), got.column("vals").combine_chunks()
-    starts = np.concatenate([[0], np.cumsum([len(v) for v in ids])]).astype(np.int64)
-    x = Rows(ids.flatten().to_numpy().astype(np.int64), vals.flatten().to_numpy().astype(float), starts, np.zeros((len(y), 0)), len(vocabulary))
-    return Chain(vocabulary, fit_chain(x, y, got.column("fold").to_numpy()))
+    ).toArrow()
+    order = np.argsort(got.column("doc_id").to_numpy(), kind="stable")
+    y = np.column_stack([got.column(c).to_numpy() for c in CHAIN]).astype(float)[order]
+    folds = got.column("fold").to_numpy()[order]
+    lens = np.concatenate([np.diff(c.offsets.to_numpy()) for c in got.column("ids").chunks] or [np.empty(0)])
+    flat = lambda name, kind: np.concatenate([c.flatten().to_numpy() for c in got.column(name).chunks] or [np.empty(0)]).astype(kind, copy=False)
+    x = Rows(flat("ids", np.int32), flat("vals", np.float32), np.concatenate([[0], np.cumsum(lens)]).astype(np.int64), np.zeros((len(y), 0)), len(vocabulary))
+    del got
+    x = x.take(order)
+    return Chain(vocabulary, fit_chain(x, y, folds))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
