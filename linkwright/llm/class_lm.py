@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkwright.llm.common import crc_of_id, cut, only, table
+from linkwright.llm.common import Sent, crc_of_id, cut, only, table
 
 #: The most frequent training words are scored from a broadcast dictionary of at most
 #: this size; all other words are looked up by a shuffled join.
@@ -85,12 +85,12 @@ def unit_bigrams(docs: DataFrame, ids: Ids, unit_of: np.ndarray, n_units: int) -
     Each task sums a matrix of n_units squared and sends its entries; sums of them,
     as many at most whatever the corpus, reach the driver.
     """
-    sent = docs.sparkSession.sparkContext.broadcast((ids, unit_of))
+    sent = Sent(docs.sparkSession, (ids, unit_of))
 
     def paired(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        ids, unit_of = sent.value
+        ids, unit_of = sent.get()
         total = np.zeros(n_units * n_units, dtype=np.int64)
         kept: list[np.ndarray] = []
         size = 0
@@ -254,14 +254,14 @@ def score_texts(docs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
     A text sends a row with what the dictionary gives and a row per other word; the
     first has a key of its own, so that no key is common to many texts.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = Sent(docs.sparkSession, model)
     kind = docs.schema["doc_id"].dataType.simpleString()
     known_end = int(model.end_base > np.log10(0.5 / (model.tokens + 0.1 * (model.types + 1))))
 
     def looked_up(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        x = sent.value
+        x = sent.get()
         size = x.ids.size
         for b in batches:
             rows: list[tuple] = []
