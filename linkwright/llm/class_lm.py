@@ -122,6 +122,23 @@ def unit_bigrams(docs: DataFrame, ids: Ids, unit_of: np.ndarray, n_units: int) -
     return out.reshape(n_units, n_units)
 
 
+def frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The words that can be among the ``most`` frequent ones, and few others.
+
+    Counts are binned by their five leading bits; the words of the lowest bins that
+    can't be needed are left out before any sort, so that what a task sends to it
+    doesn't grow with the number of tasks.
+    """
+    low = F.greatest(F.length(F.bin("n")) - F.lit(5), F.lit(0))
+    bins = counts.groupBy(F.call_function("shiftleft", F.call_function("shiftright", "n", low), low).alias("least")).agg(F.count("*").alias("v"))
+    got, least = 0, 0
+    for r in sorted(bins.collect(), key=lambda r: -r["least"]):  # 16 bins for each doubling of the count
+        got, least = got + r["v"], r["least"]
+        if got >= most:
+            break
+    return counts.filter(F.col("n") >= least)
+
+
 def xlogx(a: np.ndarray) -> np.ndarray:
     return a * np.log(np.maximum(a, 1e-300))
 
@@ -202,7 +219,7 @@ def train(docs: DataFrame, counts: DataFrame, n_classes: int = CLASSES, dictiona
         F.count(F.when(F.col("n") == 2, 1)).alias("n2"), F.sum(F.when(F.col("word") == F.lit(END), F.col("n"))).alias("ends"),
     ).collect()[0]
     tokens, types, ends = int(whole["tokens"] or 0), int(whole["types"]), int(whole["ends"] or 0)
-    top = counts.filter(F.col("word") != F.lit(END)).orderBy(F.desc("n"), "word").limit(dictionary).toArrow()
+    top = frequent(counts.filter(F.col("word") != F.lit(END)), dictionary).orderBy(F.desc("n"), "word").limit(dictionary).toArrow()
     ranked = [bytes(w) for w in top.column("word").to_pylist()]
     freq = top.column("n").to_numpy().astype(float)
     order = sorted(range(len(ranked)), key=lambda i: (-freq[i], ranked[i]))
