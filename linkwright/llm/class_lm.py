@@ -16,9 +16,12 @@ from linkwright.llm.common import Sent, crc_of_id, cut, only, table
 #: The most frequent training words are scored from a broadcast dictionary of at most
 #: this size; all other words are looked up by a shuffled join.
 DICTIONARY = 200_000
-#: So many of them are exchanged between classes each on its own; the other words move
-#: together with those of the same ending, hashed to so many units.
+#: So many of them are exchanged between classes each on its own, the other words together
+#: with those of the same ending, hashed to so many units.
 SINGLE_WORDS, ENDINGS, ENDING_BYTES = 1_000, 128, 4
+#: Every further word of so many training tokens then gets the class that fits its own
+#: neighbours; rarer and unseen words keep that of their ending.
+LEAST_COUNT = 2
 CLASSES = 64
 SWEEPS = 8
 #: The end of a text as a word; words hold no blank, so none is like it.
@@ -201,6 +204,7 @@ class Model:
     step: np.ndarray  # [class before, class]
     emit: np.ndarray  # by number; 0 for words outside the dictionary
     base: np.ndarray
+    freq: np.ndarray  # of the dictionary's words
     class_tokens: np.ndarray
     class_unknown: np.ndarray  # log10 probability of an unknown word in the class
     tokens: int
@@ -212,8 +216,21 @@ class Model:
         return F.log10((n + 0.1) / F.lit(self.tokens + 0.1 * (self.types + 1)))
 
 
+def probabilities(m: np.ndarray, type_count: np.ndarray, discount: float) -> tuple[np.ndarray, np.ndarray]:
+    """log10 probabilities of class after class and of an unknown word in each class."""
+    in_class = m.sum(axis=0)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        unknown = np.where((in_class > 0) & (type_count > 0), discount * type_count / in_class, 1.0)
+    unknown = np.minimum(unknown, 1.0)
+    uni = (in_class + DISCOUNT) / (in_class.sum() + DISCOUNT * len(m))
+    outs = m.sum(axis=1, keepdims=True)
+    spread = DISCOUNT * (m > 0).sum(axis=1, keepdims=True)
+    step = np.where(outs > 0, (np.maximum(m - DISCOUNT, 0) + spread * uni) / np.maximum(outs, 1), uni)
+    return np.log10(step), np.log10(unknown)
+
+
 def train(docs: DataFrame, counts: DataFrame, n_classes: int = CLASSES, dictionary: int = DICTIONARY) -> Model:
-    """Learn classes and probabilities from documents and their word counts."""
+    """Learn classes and probabilities from documents and their word counts, words outside the singles by ending."""
     whole = counts.agg(
         F.sum("n").alias("tokens"), F.count("*").alias("types"), F.count(F.when(F.col("n") == 1, 1)).alias("n1"),
         F.count(F.when(F.col("n") == 2, 1)).alias("n2"), F.sum(F.when(F.col("word") == F.lit(END), F.col("n"))).alias("ends"),
@@ -246,86 +263,270 @@ def train(docs: DataFrame, counts: DataFrame, n_classes: int = CLASSES, dictiona
         types_of[1 + singles + ending(w)] -= 1
 
     discount = float(np.clip(whole["n1"] / max(1, whole["n1"] + 2 * whole["n2"]), 0.1, 0.95))
+    step, unknown = probabilities(m, member.T @ types_of, discount)
     in_class = m.sum(axis=0)
-    type_count = member.T @ types_of
-    with np.errstate(divide="ignore", invalid="ignore"):
-        unknown = np.where((in_class > 0) & (type_count > 0), discount * type_count / in_class, 1.0)
-    unknown = np.minimum(unknown, 1.0)
-    uni = (in_class + DISCOUNT) / (in_class.sum() + DISCOUNT * k)
-    outs = m.sum(axis=1, keepdims=True)
-    spread = DISCOUNT * (m > 0).sum(axis=1, keepdims=True)
-    step = np.where(outs > 0, (np.maximum(m - DISCOUNT, 0) + spread * uni) / np.maximum(outs, 1), uni)
     class_of = cls[unit_of]
     pad = np.zeros(ENDINGS)
     return Model(
-        ids, class_of, np.log10(step),
+        ids, class_of, step,
         np.concatenate([np.log10((freq - discount) / np.maximum(in_class[class_of[: len(ranked)]], 1)), pad]),
-        np.concatenate([np.log10((freq + 0.1) / (tokens + 0.1 * (types + 1))), pad]),
-        in_class, np.log10(unknown), tokens, types, discount, float(np.log10((ends + 0.1) / (tokens + 0.1 * (types + 1)))),
+        np.concatenate([np.log10((freq + 0.1) / (tokens + 0.1 * (types + 1))), pad]), freq,
+        in_class, unknown, tokens, types, discount, float(np.log10((ends + 0.1) / (tokens + 0.1 * (types + 1)))),
     )
 
 
-def score_texts(docs: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
-    """Sums per document from the dictionary and from a join for all other words.
+#: A place in a word's table of neighbours (classes before, then classes after) and its count.
+SLOT = np.dtype([("slot", "<u2"), ("n", "<u4")])
+
+
+def neighbours(docs: DataFrame, model: Model, singles: int) -> DataFrame:
+    """(word, seen): counts of the classes before and after each word but the singles, a row per task and word."""
+    sent = Sent(docs.sparkSession, (model.ids, model.class_of))
+    k = len(model.step)
+
+    def paired(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        ids, class_of = sent.get()
+        names = list(ids)[: ids.size]
+        local: dict[bytes, int] = {}
+        kept: list[np.ndarray] = []
+        size = 0
+
+        def flush() -> Iterator:
+            nonlocal kept, size
+            keys, n = np.unique(np.concatenate(kept), return_counts=True)
+            owner = keys >> 16
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            cells = np.empty(len(keys), SLOT)
+            cells["slot"], cells["n"] = keys & 0xFFFF, n
+            known = [*names, *local]
+            ends = [*first[1:], len(keys)]
+            for i in range(0, len(first), 20_000):
+                j = min(i + 20_000, len(first))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([known[w] for w in owner[first[i:j]]], pa.binary()), pa.array([cells[x:y].tobytes() for x, y in zip(first[i:j], ends[i:j], strict=True)], pa.binary())],
+                    ["word", "seen"],
+                )
+            local.clear()
+            kept, size = [], 0
+
+        for b in batches:
+            for t in b.column("text").to_pylist():
+                ws = words_of(t)
+                if not ws:
+                    continue
+                at = np.fromiter(map(ids.__getitem__, ws), np.int64, len(ws))
+                cls = np.zeros(len(ws) + 2, dtype=np.int64)
+                cls[1:-1] = class_of[at]
+                for i in np.flatnonzero(at >= ids.size):
+                    at[i] = local.setdefault(ws[i], ids.size + len(local))
+                own = at >= singles
+                at = at[own] << 16
+                kept += [at + cls[:-2][own], at + (k + cls[2:][own])]
+                size += len(ws)
+                if size > 4_000_000:
+                    yield from flush()
+        if kept:
+            yield from flush()
+
+    return docs.select("text").mapInArrow(paired, "word binary, seen binary")
+
+
+def word_classes(docs: DataFrame, model: Model, singles: int) -> DataFrame:
+    """(word, n, cls) of every training word but the end.
+
+    A word's tables of neighbouring classes are summed over the corpus; it gets the
+    class in which its own tokens are likeliest, with the class bigrams of ``model``.
+    """
+    spark = docs.sparkSession
+    sent = Sent(spark, (model.step, model.class_tokens, model.class_of[model.ids.size :]))
+
+    def fitted(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        step, class_tokens, of_ending = sent.get()
+        k = len(step)
+        fit = np.concatenate([step, step.T])
+
+        def judged(words: list[bytes], table: np.ndarray):
+            n = table[:, :k].sum(axis=1)
+            old = of_ending[[ending(w) for w in words]]
+            members = class_tokens + n[:, None] * (np.arange(k) != old[:, None])
+            score = table @ fit - n[:, None] * np.log10(np.maximum(members, 1))
+            score[:, 0] = -np.inf
+            cls = np.where(n >= LEAST_COUNT, score.argmax(axis=1), old)
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n.astype(np.int64)), pa.array(cls.astype(np.int32))], ["word", "n", "cls"])
+
+        last: list[bytes] = []
+        rest = np.zeros((0, 2 * k))
+        for b in batches:
+            if not b.num_rows:
+                continue
+            rows, seen = b.column("word").to_pylist(), b.column("seen").to_pylist()
+            words, row_of = list(last), np.empty(len(rows), np.int64)
+            for i, w in enumerate(rows):  # in order of the words
+                if not words or words[-1] != w:
+                    words.append(w)
+                row_of[i] = len(words) - 1
+            cells = np.frombuffer(b"".join(seen), SLOT)
+            at = np.repeat(row_of, [len(x) // SLOT.itemsize for x in seen]) * (2 * k) + cells["slot"]
+            table = np.bincount(at, cells["n"], len(words) * 2 * k).reshape(-1, 2 * k)
+            table[: len(last)] += rest
+            if len(words) > 1:
+                yield judged(words[:-1], table[:-1])
+            last, rest = words[-1:], table[-1:]
+        if last:
+            yield judged(last, rest)
+
+    seen = neighbours(docs, model, singles).repartition("word").sortWithinPartitions("word")
+    found = seen.mapInArrow(fitted, "word binary, n long, cls int")
+    rows = [(bytearray(w), int(n), int(c)) for w, n, c in zip(list(model.ids)[:singles], model.freq[:singles], model.class_of[:singles], strict=True)]
+    return found.unionByName(spark.createDataFrame(rows, "word binary, n long, cls int"))  # SINGLE_WORDS rows
+
+
+def code_type(k: int) -> tuple[np.dtype, int]:
+    """The type of a token's class and the bit that marks an unknown word."""
+    kind = np.dtype("u1" if k <= 127 else "<u2")
+    return kind, 1 << (8 * kind.itemsize - 1)
+
+
+def class_rows(docs: DataFrame, table: DataFrame, model: Model) -> DataFrame:
+    """Each document's classes in order (``codes``) and the sums that don't depend on class probabilities.
 
     A text sends a row with what the dictionary gives and a row per other word; the
     first has a key of its own, so that no key is common to many texts.
     """
-    sent = Sent(docs.sparkSession, model)
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    top = frequent(table, model.ids.size).orderBy(F.desc("n"), "word").limit(model.ids.size).toArrow()
+    cls_of = {bytes(w): c for w, c in zip(top.column("word").to_pylist(), top.column("cls").to_pylist(), strict=True)}
+    own = np.array([cls_of[w] for w in list(model.ids)[: model.ids.size]], dtype=np.int64)
+    logs = np.log10(np.maximum(model.freq - model.discount, 1e-300))
+    kind, flag = code_type(len(model.step))
+    sent = Sent(docs.sparkSession, (model.ids, np.append(own, np.zeros(ENDINGS, np.int64)), np.append(logs, np.zeros(ENDINGS)), model.base, model.end_base))
+    id_kind = docs.schema["doc_id"].dataType.simpleString()
     known_end = int(model.end_base > np.log10(0.5 / (model.tokens + 0.1 * (model.types + 1))))
 
     def looked_up(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        x = sent.get()
-        size = x.ids.size
+        ids, own, logs, base, end_base = sent.get()
+        size = ids.size
         for b in batches:
             rows: list[tuple] = []
-            for row, doc, t in zip(b.column("_row").to_pylist(), b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+            for row, doc, crc, t in zip(*[b.column(c).to_pylist() for c in ("_row", "doc_id", "_crc", "text")], strict=True):
                 ws = words_of(t)
-                at = np.fromiter(map(x.ids.__getitem__, ws), np.int64, len(ws))
-                cls = np.zeros(len(ws) + 2, dtype=np.int64)
-                cls[1:-1] = x.class_of[at]
-                score = float(x.step[cls[:-1], cls[1:]].sum() + x.emit[at].sum())
-                other = at >= size
-                base = float(x.base[at].sum() + x.end_base)
-                rows.append((row, END + str(row).encode(), 0, {"doc_id": doc, "n": len(ws) + 1, "known": int(len(ws) - other.sum()) + known_end, "base": base, "score": score}))
-                rows += [(row, w, n, None) for w, n in Counter(ws[i] for i in np.flatnonzero(other)).items()]
+                at = np.fromiter(map(ids.__getitem__, ws), np.int64, len(ws))
+                places: dict[bytes, list[int]] = {}
+                for i in np.flatnonzero(at >= size).tolist():
+                    places.setdefault(ws[i], []).append(i)
+                known = int((at < size).sum()) + known_end
+                head = {"doc_id": doc, "crc": crc, "n": len(ws) + 1, "known": known, "base": float(base[at].sum() + end_base), "exact": float(logs[at].sum()), "codes": own[at].astype(kind).tobytes()}
+                rows.append((row, END + str(row).encode(), None, head))
+                rows += [(row, w, p, None) for w, p in places.items()]
                 if len(rows) > 50_000:
                     yield packed(pa, rows)
                     rows = []
             yield packed(pa, rows)
 
     def packed(pa, rows: list[tuple]):
-        head = pa.struct([("doc_id", doc_type(pa)), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
+        head = pa.struct([("doc_id", doc_type(pa)), ("crc", pa.int64()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("exact", pa.float64()), ("codes", pa.binary())])
         cols = list(zip(*rows, strict=True)) or [()] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.int32(), head), strict=True)], ["_row", "word", "tf", "head"])
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.list_(pa.int32()), head), strict=True)], ["_row", "word", "places", "head"])
 
     def doc_type(pa):
-        return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
+        return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_kind]
 
-    parts = docs.withColumn("_row", F.monotonically_increasing_id()).select("_row", "doc_id", "text").mapInArrow(
-        looked_up, f"_row long, word binary, tf int, head struct<doc_id:{kind},n:long,known:long,base:double,score:double>"
+    def filled(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for b in batches:
+            texts = b.column("codes").to_pylist()
+            sizes = np.array([len(t) // kind.itemsize for t in texts], dtype=np.int64)
+            starts = np.cumsum(sizes) - sizes
+            codes = np.frombuffer(b"".join(texts), kind).copy()
+            puts = b.column("puts")
+            put = puts.flatten().to_numpy(zero_copy_only=False)
+            at = np.repeat(starts, puts.value_lengths().to_numpy(zero_copy_only=False)) + (put >> 16)
+            codes[at] = put & 0xFFFF
+            done = pa.array([codes[x : x + y].tobytes() for x, y in zip(starts, sizes, strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], done], [*kept, "codes"])
+
+    parts = docs.withColumn("_row", F.monotonically_increasing_id()).select("_row", "doc_id", "_crc", "text").mapInArrow(
+        looked_up, f"_row long, word binary, places array<int>, head struct<doc_id:{id_kind},crc:long,n:long,known:long,base:double,exact:double,codes:binary>"
     )
-    found = parts.join(counts, "word", "left")
-    listed = lambda a: F.array(*[F.lit(float(v)) for v in a])
-    ends = [int(model.class_of[model.ids.size + e]) for e in range(ENDINGS)]
-    cls = F.get(F.array(*[F.lit(c) for c in ends]), ending_sql(F.col("word")))
-    inside = F.get(listed(np.maximum(model.class_tokens, 1)), F.col("_cls"))
-    n = F.coalesce("n", F.lit(0))
-    found = found.withColumn("_cls", cls)
-    emit = F.when(n > 0, F.log10((n - model.discount) / inside)).otherwise(F.get(listed(model.class_unknown), F.col("_cls")))
-    each = found.select(
-        "_row", F.col("head.doc_id").alias("doc_id"), F.col("head.n").alias("n_tokens"),
-        F.coalesce(F.col("head.known"), F.when(n > 0, F.col("tf")).otherwise(0)).alias("n_known"),
-        F.coalesce(F.col("head.base"), F.col("tf") * model.base_log(n)).alias("base_score"),
-        F.coalesce(F.col("head.score"), F.col("tf") * emit).alias("score"),
+    ends = F.array(*[F.lit(int(c)) for c in model.class_of[model.ids.size :]])
+    code = F.coalesce("cls", F.get(ends, ending_sql(F.col("word"))) + flag)
+    n, tf = F.coalesce("n", F.lit(0)), F.size("places")
+    each = parts.join(table, "word", "left").select(
+        "_row", "head", F.transform("places", lambda p: p.cast("long") * 65536 + code).alias("_put"),
+        F.coalesce(F.col("head.known"), F.when(n > 0, tf).otherwise(0)).alias("n_known"),
+        F.coalesce(F.col("head.base"), tf * model.base_log(n)).alias("base_score"),
+        F.coalesce(F.col("head.exact"), F.when(n > 0, tf * F.log10(n - model.discount)).otherwise(0.0)).alias("exact"),
     )
-    return each.groupBy("_row").agg(
-        F.max("doc_id").alias("doc_id"), F.sum("n_tokens").alias("n_tokens"), F.sum("n_known").alias("n_known"),
-        F.sum("base_score").alias("base_score"), F.sum("score").alias("score"),
+    rows = each.groupBy("_row").agg(
+        F.first("head", ignorenulls=True).alias("_h"), F.flatten(F.collect_list("_put")).alias("puts"),
+        F.sum("n_known").alias("n_known"), F.sum("base_score").alias("base_score"), F.sum("exact").alias("exact"),
     )
+    kept = ["doc_id", "_crc", "n_tokens", "n_known", "base_score", "exact"]
+    rows = rows.select(F.col("_h.doc_id").alias("doc_id"), F.col("_h.crc").alias("_crc"), F.col("_h.n").alias("n_tokens"), "n_known", "base_score", "exact", F.col("_h.codes").alias("codes"), "puts")
+    return rows.mapInArrow(filled, f"doc_id {id_kind}, _crc long, n_tokens long, n_known long, base_score double, exact double, codes binary")
+
+
+def steps(texts: list[bytes], kind: np.dtype, flag: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the texts joined by ends: each place's row, the class before, its own class, and whether its word is unknown."""
+    sizes = np.array([len(t) // kind.itemsize + 1 for t in texts], dtype=np.int64)
+    end = np.zeros(1, kind).tobytes()
+    codes = np.frombuffer(b"".join(x for t in texts for x in (t, end)), kind).astype(np.int64)
+    cls = codes & (flag - 1)
+    before = np.concatenate([np.zeros(1, np.int64), cls[:-1]])
+    return np.repeat(np.arange(len(texts)), sizes), before, cls, codes >= flag
+
+
+def refit(rows: DataFrame, table: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """log10 of class after class, tokens by class, log10 of an unknown word by class; from the classes of all training words."""
+    k = len(model.step)
+    kind, flag = code_type(k)
+
+    def paired(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        total = np.zeros(k * k, dtype=np.int64)
+        for b in batches:
+            _, before, cls, _ = steps(b.column("codes").to_pylist(), kind, flag)
+            total += np.bincount(before * k + cls, minlength=k * k)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["pair", "n"])
+
+    got = rows.select("codes").mapInArrow(paired, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
+    m = np.zeros(k * k)
+    m[got.column("pair").to_numpy()] = got.column("n").to_numpy()
+    m = m.reshape(k, k)
+    type_count = np.zeros(k)
+    type_count[0] = 1
+    for r in table.groupBy("cls").agg(F.count("*").alias("v")).collect():  # a row per class
+        type_count[r["cls"]] += r["v"]
+    step, unknown = probabilities(m, type_count, model.discount)
+    return step, m.sum(axis=0), unknown
+
+
+def scored(rows: DataFrame, step: np.ndarray, class_tokens: np.ndarray, unknown: np.ndarray) -> DataFrame:
+    """The rows of ``class_rows`` with their sums of log10 probabilities."""
+    kind, flag = code_type(len(step))
+    id_kind = rows.schema["doc_id"].dataType.simpleString()
+    share = -np.log10(np.maximum(class_tokens, 1))
+    share[0] = 0.0  # the end is the only word of its class
+    kept = ["doc_id", "_crc", "n_tokens", "n_known", "base_score"]
+
+    def summed(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for b in batches:
+            row, before, cls, other = steps(b.column("codes").to_pylist(), kind, flag)
+            each = step[before, cls] + np.where(other, unknown[cls], share[cls])
+            score = b.column("exact").to_numpy() + np.bincount(row, each, b.num_rows)
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(score)], [*kept, "score"])
+
+    return rows.mapInArrow(summed, f"doc_id {id_kind}, _crc long, n_tokens long, n_known long, base_score double, score double")
 
 
 def lm_scores(docs: DataFrame, n_classes: int = CLASSES, dictionary: int = DICTIONARY) -> DataFrame:
@@ -348,9 +549,11 @@ def lm_scores(docs: DataFrame, n_classes: int = CLASSES, dictionary: int = DICTI
     learned = rows.filter("_crc % 10 <> 0")
     counts = cut(word_counts(learned))
     model = train(learned, counts, n_classes, dictionary)
-    out = score_texts(rows, counts, model)
+    table = cut(word_classes(learned, model, min(SINGLE_WORDS, model.ids.size)))
+    coded = cut(class_rows(rows, table, model))
+    out = scored(coded, *refit(coded.filter("_crc % 10 <> 0"), table, model))
     return out.select(
-        "doc_id", (crc_of_id(F.col("doc_id")) % 10 == 0).alias("held_out"), "n_tokens", "n_known",
+        "doc_id", (F.col("_crc") % 10 == 0).alias("held_out"), "n_tokens", "n_known",
         F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
     )
 
