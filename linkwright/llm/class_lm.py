@@ -301,13 +301,12 @@ def neighbours(docs: DataFrame, model: Model, singles: int) -> DataFrame:
             cells = np.empty(len(keys), SLOT)
             cells["slot"], cells["n"] = keys & 0xFFFF, n
             known = [*names, *local]
-            ends = [*first[1:], len(keys)]
+            ends = np.append(first, len(keys)) * SLOT.itemsize
             for i in range(0, len(first), 20_000):
                 j = min(i + 20_000, len(first))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([known[w] for w in owner[first[i:j]]], pa.binary()), pa.array([cells[x:y].tobytes() for x, y in zip(first[i:j], ends[i:j], strict=True)], pa.binary())],
-                    ["word", "seen"],
-                )
+                offsets, data = (ends[i : j + 1] - ends[i]).astype(np.int32), cells[first[i] : ends[j] // SLOT.itemsize]
+                seen = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes())])
+                yield pa.RecordBatch.from_arrays([pa.array([known[w] for w in owner[first[i:j]].tolist()], pa.binary()), seen], ["word", "seen"])
             local.clear()
             kept, size = [], 0
 
@@ -349,35 +348,45 @@ def word_classes(docs: DataFrame, model: Model, singles: int) -> DataFrame:
         k = len(step)
         fit = np.concatenate([step, step.T])
 
-        def judged(words: list[bytes], table: np.ndarray):
-            n = table[:, :k].sum(axis=1)
-            old = of_ending[[ending(w) for w in words]]
-            members = class_tokens + n[:, None] * (np.arange(k) != old[:, None])
-            score = table @ fit - n[:, None] * np.log10(np.maximum(members, 1))
-            score[:, 0] = -np.inf
-            cls = np.where(n >= LEAST_COUNT, score.argmax(axis=1), old)
+        def judged(words: list[bytes], n: np.ndarray, row: np.ndarray, cells: np.ndarray):
+            cls = of_ending[[ending(w) for w in words]]
+            often = np.flatnonzero(n >= LEAST_COUNT)
+            if len(often):
+                to = np.full(len(words), -1)
+                to[often] = np.arange(len(often))
+                here = to[row] >= 0
+                table = np.bincount(to[row[here]] * (2 * k) + cells["slot"][here], cells["n"][here], len(often) * 2 * k).reshape(-1, 2 * k)
+                members = class_tokens + n[often, None] * (np.arange(k) != cls[often, None])
+                score = table @ fit - n[often, None] * np.log10(np.maximum(members, 1))
+                score[:, 0] = -np.inf
+                cls[often] = score.argmax(axis=1)
             return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(n.astype(np.int64)), pa.array(cls.astype(np.int32))], ["word", "n", "cls"])
 
         last: list[bytes] = []
-        rest = np.zeros((0, 2 * k))
+        rest = np.empty(0, SLOT)
         for b in batches:
             if not b.num_rows:
                 continue
             rows, seen = b.column("word").to_pylist(), b.column("seen").to_pylist()
-            words, row_of = list(last), np.empty(len(rows), np.int64)
-            for i, w in enumerate(rows):  # in order of the words
-                if not words or words[-1] != w:
-                    words.append(w)
-                row_of[i] = len(words) - 1
-            cells = np.frombuffer(b"".join(seen), SLOT)
-            at = np.repeat(row_of, [len(x) // SLOT.itemsize for x in seen]) * (2 * k) + cells["slot"]
-            table = np.bincount(at, cells["n"], len(words) * 2 * k).reshape(-1, 2 * k)
-            table[: len(last)] += rest
+            changes = [0 if last == rows[:1] else 1, *[int(x != y) for x, y in zip(rows, rows[1:], strict=False)]]
+            words = last + [w for w, new in zip(rows, changes, strict=True) if new]  # rows are in order of the words
+            row_of = np.cumsum(changes) + (len(last) - 1)
+            row = np.concatenate([np.zeros(len(rest), np.int64), np.repeat(row_of, [len(x) // SLOT.itemsize for x in seen])])
+            cells = np.concatenate([rest, np.frombuffer(b"".join(seen), SLOT)])
+            n = np.bincount(row, np.where(cells["slot"] < k, cells["n"], 0), len(words))
+            done = row < len(words) - 1
             if len(words) > 1:
-                yield judged(words[:-1], table[:-1])
-            last, rest = words[-1:], table[-1:]
+                yield judged(words[:-1], n[:-1], row[done], cells[done])
+            last, rest = words[-1:], summed(cells[~done])
         if last:
-            yield judged(last, rest)
+            yield judged(last, np.array([rest["n"][rest["slot"] < k].sum()], float), np.zeros(len(rest), np.int64), rest)
+
+    def summed(cells: np.ndarray) -> np.ndarray:
+        total = np.bincount(cells["slot"], cells["n"])
+        out = np.empty(np.count_nonzero(total), cells.dtype)
+        out["slot"] = np.flatnonzero(total)
+        out["n"] = total[out["slot"]]
+        return out
 
     seen = neighbours(docs, model, singles).repartition("word").sortWithinPartitions("word")
     found = seen.mapInArrow(fitted, "word binary, n long, cls int")
