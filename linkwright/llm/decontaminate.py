@@ -19,25 +19,33 @@ UNITS = (
     "hour hours minute minutes second seconds day days week weeks month months year years "
     "dollar dollars cent cents euro euros pound pounds percent degree degrees meter meters metre metres gram grams"
 ).split()
-NAME, NUMBER, SEPARATOR = "\x01", "\x02", "\x03"
+NAME, NUMBER, SEPARATOR, INITIAL = "\x01", "\x02", "\x03", "\x04"
 NAME_AT = r"(?<=[^.!?:;\s][ \t]{1,3})(\p{Lu}[\p{L}\p{M}'’-]*)"
+INITIAL_AT = r"(?<![\p{L}\p{M}\p{N}\x01-\x03])(?<![\p{L}\p{M}]['’-]{1,2})(\p{Lu}[\p{L}\p{M}'’-]*)"
 NUMBER_AT = r"(?<![\p{L}\p{M}\p{N}\x01-\x03])(\p{Nd}+(?:\x03\p{Nd}+)*)"
-GAP = r"[^\p{L}\p{M}\p{N}\x01-\x03]+"
+GAP = r"[^\p{L}\p{M}\p{N}\x01-\x04]+"
 
 
-def marked_tokens(text: Column) -> Column:
+def marked_tokens(text: Column, initials: bool = False) -> Column:
     """Lower-case tokens; names start with \\x01 and numbers with \\x02.
 
     A name is a word with a capital that doesn't begin a sentence or line; a number
-    is a run of digits, with separators between digits.
+    is a run of digits, with separators between digits.  With ``initials``, other
+    words with a capital, which may be names or not, start with \\x04.
     """
-    t = F.translate(F.coalesce(text, F.lit("")), NAME + NUMBER + SEPARATOR, "")
+    t = F.translate(F.coalesce(text, F.lit("")), NAME + NUMBER + SEPARATOR + INITIAL, "")
     t = F.regexp_replace(t, r"(?<=\p{Nd})[.,](?=\p{Nd})", SEPARATOR)
-    t = F.lower(F.regexp_replace(t, NAME_AT, NAME + "$1"))
+    t = F.regexp_replace(t, NAME_AT, NAME + "$1")
+    t = F.lower(F.regexp_replace(t, INITIAL_AT, INITIAL + "$1") if initials else t)
     t = F.regexp_replace(t, NUMBER_AT, NUMBER + "$1")
     return F.array_remove(F.split(t, GAP), "")
 
 
+def bare(token: Column) -> Column:
+    """The token without the mark of a word that may be a name."""
+    return F.ltrim(token, F.lit(INITIAL))
+
+
 def placeholder(token: Column) -> Column:
     """The typed placeholder of a name, number or unit; null for other tokens."""
     first = F.substring(token, 1, 1)
@@ -48,22 +56,51 @@ def canonical(token: Column) -> Column:
     return F.coalesce(placeholder(token), token)
 
 
-def windows(rows: DataFrame, key: str, sizes: list[int]) -> DataFrame:
-    """(key, at, h): a hash of every window of the given sizes of the array ``_tokens``."""
-    rows = rows.select(key, F.transform("_tokens", lambda t: F.xxhash64(canonical(t))).alias("_h"))
+def windows(rows: DataFrame, key: str, sizes: list[int], initials: bool = False) -> DataFrame:
+    """(key, at, h): a hash of every window of the given sizes of the array ``_tokens``.
+
+    With ``initials``, a window that holds words marked as such has a second hash, in
+    which they are names.
+    """
+    literal = F.transform("_tokens", lambda t: F.xxhash64(canonical(bare(t) if initials else t))).alias("_h")
+    name = F.transform("_tokens", lambda t: F.xxhash64(F.when(t.startswith(INITIAL), "<name>").otherwise(canonical(t)))).alias("_g")
+    rows = rows.select(key, literal, *([name] if initials else []))
 
-    def hashes(n: int) -> Column:
-        starts = F.slice("_h", 1, F.greatest(F.size("_h") - (n - 1), F.lit(0)))
-        return F.transform(starts, lambda h, i: F.xxhash64(h, *[F.get("_h", i + j) for j in range(1, n)], F.lit(n)))
+    def hashes(of: str, n: int) -> Column:
+        starts = F.slice(of, 1, F.greatest(F.size(of) - (n - 1), F.lit(0)))
+        return F.transform(starts, lambda h, i: F.xxhash64(h, *[F.get(of, i + j) for j in range(1, n)], F.lit(n)))
 
     out = None
     for n in sizes:
-        each = rows.select(key, F.posexplode(hashes(n)).alias("at", "h"))
+        if initials:
+            both = F.arrays_zip(hashes("_h", n).alias("h"), hashes("_g", n).alias("g"))
+            each = rows.select(key, F.posexplode(both).alias("at", "_w")).select(
+                key, "at", F.explode(F.when(F.col("_w.h") == F.col("_w.g"), F.array("_w.h")).otherwise(F.array("_w.h", "_w.g"))).alias("h")
+            )
+        else:
+            each = rows.select(key, F.posexplode(hashes("_h", n)).alias("at", "h"))
         out = each if out is None else out.unionByName(each)
     return out
 
 
-def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_share: float = MIN_SHARE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def compared(pairs: DataFrame) -> DataFrame:
+    """The pairs (``_value`` of an item, ``_other`` in its place) that are slots, names without their marks.
+
+    Two words that only may be names are a slot if either is a sure name at
+    another slot of the same item and document.
+    """
+    kind = lambda c: F.when(F.col(c).startswith(INITIAL), "<name>").otherwise(placeholder(F.col(c)))
+    pairs = pairs.filter(kind("_value") == kind("_other"))
+    name = lambda c: F.regexp_replace(c, f"^{INITIAL}", NAME)
+    unsure = F.col("_value").startswith(INITIAL) & F.col("_other").startswith(INITIAL)
+    keys = [c for c in pairs.columns if c not in ("_value", "_other")]
+    each = F.struct(name("_value").alias("_value"), name("_other").alias("_other"), unsure.alias("_unsure"))
+    pairs = pairs.groupBy(*keys).agg(F.collect_set(each).alias("_all"))  # at most the item's length
+    sure = lambda s: F.exists("_all", lambda t: ~t["_unsure"] & ((t["_value"] == s["_value"]) | (t["_other"] == s["_other"])))
+    return pairs.select(*keys, F.explode(F.filter("_all", lambda s: ~s["_unsure"] | sure(s))).alias("_s")).select(*keys, "_s._value", "_s._other")
+
+
+def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_share: float = MIN_SHARE, broadcast_rows: int = BROADCAST_ROWS, initials: bool = False) -> DataFrame:
     """(doc_id, item_id, share, slots, consistent, leaked) per document and benchmark item that share windows.
 
     Texts become tokens in which names, numbers and units are typed placeholders,
@@ -75,24 +112,28 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_shar
     item is ``leaked`` into a document if the share reaches ``min_share`` and the
     slots are consistent.
 
+    With ``initials``, a word with a capital that begins a sentence or line counts
+    both as itself and as a name, so that windows over renamed sentence beginnings
+    are found.  It is a slot where it, or the word in its place, is a sure name.
+
     Null and blank texts have no windows; items without a token are never found;
     rows of equal doc_id count as one document, a null one included; an item
     repeated under other ids is found under each; empty tables give no rows.  Work
     is a hash per token and a row per matched window: no pair of texts is compared.
     """
     docs, items = only(docs, "doc_id", "text"), only(items, "item_id", "text").dropDuplicates(["item_id"])
-    items = cut(items.filter("item_id IS NOT NULL").select("item_id", marked_tokens(F.col("text")).alias("_tokens")).filter("size(_tokens) > 0"))
+    items = cut(items.filter("item_id IS NOT NULL").select("item_id", marked_tokens(F.col("text"), initials).alias("_tokens")).filter("size(_tokens) > 0"))
     short = [r[0] for r in items.filter(F.size("_tokens") < window).select(F.size("_tokens")).distinct().collect()]  # window - 1 values at most
-    known = windows(items.filter(F.size("_tokens") >= window), "item_id", [window])
+    known = windows(items.filter(F.size("_tokens") >= window), "item_id", [window], initials)
     for n in short:
-        known = known.unionByName(windows(items.filter(F.size("_tokens") == n), "item_id", [n]))
+        known = known.unionByName(windows(items.filter(F.size("_tokens") == n), "item_id", [n], initials))
     known = cut(known.withColumnRenamed("at", "item_at"))
-    per_item = known.groupBy("item_id").agg(F.count("*").alias("n_windows"))
+    per_item = known.groupBy("item_id").agg(F.countDistinct("item_at").alias("n_windows"))
     few = known.count() <= broadcast_rows
     small = F.broadcast if few else (lambda df: df)
 
-    tokens = docs.select("doc_id", marked_tokens(F.col("text")).alias("_tokens"))
-    found = windows(tokens, "doc_id", [window, *short]).join(small(known), "h")
+    tokens = docs.select("doc_id", marked_tokens(F.col("text"), initials).alias("_tokens"))
+    found = windows(tokens, "doc_id", [window, *short], initials).join(small(known), "h")
     found = cut(found.select("doc_id", "item_id", "item_at", (F.col("at") - F.col("item_at")).alias("shift")))
 
     share = found.groupBy("doc_id", "item_id").agg(F.countDistinct("item_at").alias("_n")).join(small(per_item), "item_id")
@@ -110,7 +151,7 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_shar
     slots = slots.withColumn(
         "_slot", F.explode(F.sequence(F.lit(0), F.size("_item") - 1))
     ).withColumn("_value", F.get("_item", F.col("_slot")))
-    slots = slots.filter(placeholder(F.col("_value")).isNotNull())
+    slots = slots.filter(placeholder(F.col("_value")).isNotNull() | F.col("_value").startswith(INITIAL))
     covered = F.exists("_ats", lambda a: (a <= F.col("_slot")) & (F.col("_slot") < a + window))
     slots = slots.filter(covered).select("doc_id", "item_id", "shift", "_slot", "_value")
     slots = slots.groupBy("doc_id", "item_id", "shift").agg(F.collect_list(F.struct("_slot", "_value")).alias("_slots"))
@@ -118,7 +159,7 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_shar
     slots = slots.select("doc_id", "item_id", F.explode("_slots").alias("_s"), "shift", "_tokens").select(
         "doc_id", "item_id", F.col("_s._value").alias("_value"), F.get("_tokens", F.col("shift") + F.col("_s._slot")).alias("_other")
     )
-    slots = slots.filter(placeholder(F.col("_value")) == placeholder(F.col("_other")))
+    slots = compared(slots)
     slots = slots.groupBy("doc_id", "item_id").agg(
         F.countDistinct("_value").alias("slots"), F.countDistinct("_other").alias("_o"), F.countDistinct("_value", "_other").alias("_p")
     )
@@ -130,8 +171,8 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_shar
 
 def without_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no leaked item, with all their columns."""
-    return without_ids(docs, find_items(docs, items).filter("leaked"))
+    return without_ids(docs, find_items(docs, items, initials=True).filter("leaked"))
 
 
 def op3_template_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).filter("leaked")
+    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), initials=True).filter("leaked")
