@@ -107,8 +107,11 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_shar
     so that a question with other names and figures keeps its windows.  Hashes of
     the windows are joined.  ``share`` is the share of the item's windows found in
     the document.  Slots are the item's placeholders that lie in matched windows at
-    the place with the most matches; they are consistent if equal values of the
-    item have equal values in the document and unequal ones unequal values.  An
+    one place; they are consistent if equal values of the item have equal values in
+    the document and unequal ones unequal values.  Every place with the most matches
+    or with ``min_share`` of the windows is compared: ``slots`` and ``consistent``
+    are those of a consistent place if there is one (then that of most matches, then
+    the earliest).  An
     item is ``leaked`` into a document if the share reaches ``min_share`` and the
     slots are consistent.
 
@@ -139,8 +142,10 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_shar
     share = found.groupBy("doc_id", "item_id").agg(F.countDistinct("item_at").alias("_n")).join(small(per_item), "item_id")
     share = share.select("doc_id", "item_id", (F.col("_n") / F.col("n_windows")).alias("share"))
     place = found.groupBy("doc_id", "item_id", "shift").agg(F.countDistinct("item_at").alias("_n"), F.collect_set("item_at").alias("_ats"))
-    best = place.groupBy("doc_id", "item_id").agg(F.max(F.struct("_n", -F.col("shift"), "_ats")).alias("_b"))
-    best = cut(best.select("doc_id", "item_id", (-F.col("_b")["col2"]).alias("shift"), F.col("_b._ats").alias("_ats")))
+    most = place.groupBy("doc_id", "item_id").agg(F.max("_n").alias("_most")).withColumnsRenamed({"doc_id": "_d", "item_id": "_i"})
+    best = place.join(most, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("item_id") == F.col("_i"))).drop("_d", "_i").join(small(per_item), "item_id")
+    best = best.filter((F.col("_n") == F.col("_most")) | (F.col("_n") >= min_share * F.col("n_windows")))
+    best = cut(best.select("doc_id", "item_id", "shift", "_n", "_ats"))
 
     near = best.select("doc_id").distinct()
     if near.count() <= broadcast_rows:
@@ -157,15 +162,19 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = WINDOW, min_shar
     slots = slots.groupBy("doc_id", "item_id", "shift").agg(F.collect_list(F.struct("_slot", "_value")).alias("_slots"))
     slots = slots.join(texts, F.col("doc_id").eqNullSafe(F.col("_doc")))
     slots = slots.select("doc_id", "item_id", F.explode("_slots").alias("_s"), "shift", "_tokens").select(
-        "doc_id", "item_id", F.col("_s._value").alias("_value"), F.get("_tokens", F.col("shift") + F.col("_s._slot")).alias("_other")
+        "doc_id", "item_id", "shift", F.col("_s._value").alias("_value"), F.get("_tokens", F.col("shift") + F.col("_s._slot")).alias("_other")
     )
     slots = compared(slots)
-    slots = slots.groupBy("doc_id", "item_id").agg(
+    slots = slots.groupBy("doc_id", "item_id", "shift").agg(
         F.countDistinct("_value").alias("slots"), F.countDistinct("_other").alias("_o"), F.countDistinct("_value", "_other").alias("_p")
     )
-    slots = slots.select(F.col("doc_id").alias("_d"), F.col("item_id").alias("_i"), "slots", ((F.col("slots") == F.col("_p")) & (F.col("_o") == F.col("_p"))).alias("consistent"))
-    out = share.join(slots, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("item_id") == F.col("_i")), "left").drop("_d", "_i")
-    out = out.na.fill(0, ["slots"]).withColumn("consistent", F.coalesce("consistent", F.lit(True)))
+    fine = (F.col("slots") == F.col("_p")) & (F.col("_o") == F.col("_p"))
+    slots = slots.select(F.col("doc_id").alias("_d"), F.col("item_id").alias("_i"), F.col("shift").alias("_s"), "slots", fine.alias("_fine"))
+    at = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("item_id") == F.col("_i"))
+    places = best.join(slots, at & (F.col("shift") == F.col("_s")), "left")
+    order = F.struct(F.coalesce("_fine", F.lit(True)).alias("consistent"), "_n", -F.col("shift"), F.coalesce("slots", F.lit(0)).alias("slots"))
+    places = places.groupBy("doc_id", "item_id").agg(F.max(order).alias("_b")).select(F.col("doc_id").alias("_d"), F.col("item_id").alias("_i"), "_b.slots", "_b.consistent")
+    out = share.join(places, at).drop("_d", "_i")
     return out.withColumn("leaked", (F.col("share") >= min_share) & F.col("consistent"))
 
 

@@ -25,3 +25,14 @@ def test_names_that_begin_sentences(spark):
         (7, f'"{renamed}"'),
     ]
     assert leaked(spark, docs, [(1, APPLES)]) == {1, 2, 3, 6, 7}
+
+
+def test_a_later_copy_with_consistent_slots(spark):
+    item = "If Anna has 3 apples and Bob has 12 apples, how many kg do Anna and Bob carry in total today?"
+    mixed = "If Carl has 7 apples and Dora has 15 apples, how many miles do Eve and Frank carry in total today?"
+    changed = item.replace("in total", "all in all")
+    docs = [(1, f"{mixed} Next one. {item}"), (2, f"{mixed} Next one. {mixed}"), (3, f"{mixed} Next one. {changed}"), (4, f"{item} {mixed}")]
+    items = [(1, item)]
+    assert leaked(spark, docs, items) == {1, 3, 4}
+    found = {r.doc_id: r for r in D.find_items(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()}
+    assert len(found) == 4 and found[1].consistent and found[1].slots == found[4].slots and not found[2].consistent
