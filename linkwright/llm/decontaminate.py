@@ -20,9 +20,9 @@ UNITS = (
     "dollar dollars cent cents euro euros pound pounds percent degree degrees meter meters metre metres gram grams"
 ).split()
 NAME, NUMBER, SEPARATOR, INITIAL = "\x01", "\x02", "\x03", "\x04"
-NAME_AT = r"(?<=[^.!?:;\s][ \t]{1,3})(\p{Lu}[\p{L}\p{M}'’-]*)"
-INITIAL_AT = r"(?<![\p{L}\p{M}\p{N}\x01-\x03])(?<![\p{L}\p{M}]['’-]{1,2})(\p{Lu}[\p{L}\p{M}'’-]*)"
-NUMBER_AT = r"(?<![\p{L}\p{M}\p{N}\x01-\x03])(\p{Nd}+(?:\x03\p{Nd}+)*)"
+NAME_AT = r"(?=\p{Lu})(?<=[^.!?:;\s][ \t]{1,3})(\p{Lu}[\p{L}\p{M}'’-]*)"
+INITIAL_AT = r"(?=\p{Lu})(?<![\p{L}\p{M}\p{N}\x01-\x03])(?<![\p{L}\p{M}]['’-]{1,2})(\p{Lu}[\p{L}\p{M}'’-]*)"
+NUMBER_AT = r"(?=\p{Nd})(?<![\p{L}\p{M}\p{N}\x01-\x03])(\p{Nd}+(?:\x03\p{Nd}+)*)"
 GAP = r"[^\p{L}\p{M}\p{N}\x01-\x04]+"
 
 
@@ -34,7 +34,7 @@ def marked_tokens(text: Column, initials: bool = False) -> Column:
     words with a capital, which may be names or not, start with \\x04.
     """
     t = F.translate(F.coalesce(text, F.lit("")), NAME + NUMBER + SEPARATOR + INITIAL, "")
-    t = F.regexp_replace(t, r"(?<=\p{Nd})[.,](?=\p{Nd})", SEPARATOR)
+    t = F.regexp_replace(t, r"[.,](?=\p{Nd})(?<=\p{Nd}[.,])", SEPARATOR)
     t = F.regexp_replace(t, NAME_AT, NAME + "$1")
     t = F.lower(F.regexp_replace(t, INITIAL_AT, INITIAL + "$1") if initials else t)
     t = F.regexp_replace(t, NUMBER_AT, NUMBER + "$1")
@@ -62,9 +62,13 @@ def windows(rows: DataFrame, key: str, sizes: list[int], initials: bool = False)
     With ``initials``, a window that holds words marked as such has a second hash, in
     which they are names.
     """
-    literal = F.transform("_tokens", lambda t: F.xxhash64(canonical(bare(t) if initials else t))).alias("_h")
-    name = F.transform("_tokens", lambda t: F.xxhash64(F.when(t.startswith(INITIAL), "<name>").otherwise(canonical(t)))).alias("_g")
-    rows = rows.select(key, literal, *([name] if initials else []))
+    plain = lambda t: F.xxhash64(canonical(t))
+    maybe = lambda t: t.startswith(INITIAL)
+    literal = F.transform("_tokens", (lambda t: F.when(maybe(t), plain(bare(t))).otherwise(plain(t))) if initials else plain)
+    rows = rows.select(key, "_tokens", literal.alias("_h"))
+    if initials:
+        name = F.xxhash64(F.lit("<name>"))
+        rows = rows.select(key, "_h", F.zip_with("_tokens", "_h", lambda t, h: F.when(maybe(t), name).otherwise(h)).alias("_g"))
 
     def hashes(of: str, n: int) -> Column:
         starts = F.slice(of, 1, F.greatest(F.size(of) - (n - 1), F.lit(0)))
@@ -72,13 +76,13 @@ def windows(rows: DataFrame, key: str, sizes: list[int], initials: bool = False)
 
     out = None
     for n in sizes:
-        if initials:
-            both = F.arrays_zip(hashes("_h", n).alias("h"), hashes("_g", n).alias("g"))
-            each = rows.select(key, F.posexplode(both).alias("at", "_w")).select(
-                key, "at", F.explode(F.when(F.col("_w.h") == F.col("_w.g"), F.array("_w.h")).otherwise(F.array("_w.h", "_w.g"))).alias("h")
-            )
+        each = rows.select(key, *([hashes(x, n).alias(x) for x in ("_h", "_g")] if initials else [hashes("_h", n).alias("_h")]))
+        if initials:  # one after the other, without those that are the same
+            names = F.zip_with("_h", "_g", lambda h, g: F.when(h != g, g))
+            each = each.select(key, F.size("_h").alias("_n"), F.posexplode(F.concat("_h", names)).alias("at", "h"))
+            each = each.filter("h IS NOT NULL").select(key, F.expr("at % _n").alias("at"), "h")
         else:
-            each = rows.select(key, F.posexplode(hashes("_h", n)).alias("at", "h"))
+            each = each.select(key, F.posexplode("_h").alias("at", "h"))
         out = each if out is None else out.unionByName(each)
     return out
 
