@@ -19,9 +19,9 @@ DAMPING = 0.85
 ROUNDS = 12
 #: Lineage is cut after so many rounds.
 CUT_EVERY = 4
-#: A host is blocked if its distrust is over so many times its trust ...
+#: A host is blocked if its distrust is over so many times its trust.
 RATIO = 3.0
-#: ... and over so many millionths of the seeds' mass.
+#: The SQL, for small tables, also wants so many millionths of the seeds' mass.
 FLOOR = 0.01
 
 
@@ -101,7 +101,7 @@ def host_scores(pages: DataFrame, rules=RULES, rounds: int = ROUNDS) -> DataFram
     trust = propagate(shares(hosts, "allowed"), edges, rounds).withColumnRenamed("score", "trust")
     distrust = propagate(shares(hosts, "barred"), back, rounds).withColumnRenamed("score", "distrust")
     both = hosts.select("host").join(trust, "host", "full").join(distrust, "host", "full").na.fill(0.0, ["trust", "distrust"])
-    return both.withColumn("blocked", (F.col("distrust") > RATIO * F.col("trust")) & (F.col("distrust") * 1e6 > FLOOR))
+    return both.withColumn("blocked", F.col("distrust") > RATIO * F.col("trust"))
 
 
 def judge_pages(pages: DataFrame, rules=RULES, rounds: int = ROUNDS) -> DataFrame:
