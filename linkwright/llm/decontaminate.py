@@ -13,11 +13,21 @@ WINDOW = 8
 MIN_SHARE = 0.5
 #: Window tables of up to so many rows (24 bytes each) are broadcast, larger ones are joined by shuffle.
 BROADCAST_ROWS = 500_000
-#: Words that count as units.
+#: Words that count as units, of English, French and Spanish (German ones have a capital and count as names).
 UNITS = (
     "kg g mg lb lbs oz ton tons km m cm mm mile miles ft feet inch inches yard yards l ml liter liters litre litres gallon gallons "
     "hour hours minute minutes second seconds day days week weeks month months year years "
-    "dollar dollars cent cents euro euros pound pounds percent degree degrees meter meters metre metres gram grams"
+    "dollar dollars cent cents euro euros pound pounds percent degree degrees meter meters metre metres gram grams "
+    "heure heures seconde secondes jour jours semaine semaines mois ans année années gramme grammes mètre mètres "
+    "hora horas minuto minutos segundo segundos día días semana semanas meses año años gramo gramos metro metros litro litros"
+).split()
+#: Words that count as numbers, of the four languages; those that are also common words of one of them are left out.
+NUMBER_WORDS = (
+    "two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty "
+    "thirty forty fifty sixty seventy eighty ninety hundred thousand "
+    "zwei drei vier fünf sechs sieben acht neun zehn zwölf zwanzig dreißig vierzig fünfzig hundert tausend "
+    "deux trois quatre cinq sept huit dix onze douze vingt trente quarante cinquante mille "
+    "dos tres cuatro cinco seis siete ocho nueve diez doce veinte treinta cuarenta cincuenta cien mil"
 ).split()
 NAME, NUMBER, SEPARATOR, INITIAL = "\x01", "\x02", "\x03", "\x04"
 NAME_AT = r"(?=\p{Lu})(?<=[^.!?:;\s][ \t]{1,3})(\p{Lu}[\p{L}\p{M}'’-]*)"
@@ -49,7 +59,7 @@ def bare(token: Column) -> Column:
 def placeholder(token: Column) -> Column:
     """The typed placeholder of a name, number or unit; null for other tokens."""
     first = F.substring(token, 1, 1)
-    return F.when(first == NAME, "<name>").when(first == NUMBER, "<number>").when(token.isin(UNITS), "<unit>")
+    return F.when(first == NAME, "<name>").when((first == NUMBER) | token.isin(NUMBER_WORDS), "<number>").when(token.isin(UNITS), "<unit>")
 
 
 def canonical(token: Column) -> Column:
@@ -60,7 +70,8 @@ def windows(rows: DataFrame, key: str, sizes: list[int], initials: bool = False)
     """(key, at, h): a hash of every window of the given sizes of the array ``_tokens``.
 
     With ``initials``, a window that holds words marked as such has a second hash, in
-    which they are names.
+    which they are names.  Each token is hashed once; a row per token then reads its
+    windows from the array in generated code.
     """
     plain = lambda t: F.xxhash64(canonical(t))
     maybe = lambda t: t.startswith(INITIAL)
@@ -69,22 +80,19 @@ def windows(rows: DataFrame, key: str, sizes: list[int], initials: bool = False)
     if initials:
         name = F.xxhash64(F.lit("<name>"))
         rows = rows.select(key, "_h", F.zip_with("_tokens", "_h", lambda t, h: F.when(maybe(t), name).otherwise(h)).alias("_g"))
-
-    def hashes(of: str, n: int) -> Column:
-        starts = F.slice(of, 1, F.greatest(F.size(of) - (n - 1), F.lit(0)))
-        return F.transform(starts, lambda h, i: F.xxhash64(h, *[F.get(of, i + j) for j in range(1, n)], F.lit(n)))
-
-    out = None
-    for n in sizes:
-        each = rows.select(key, *([hashes(x, n).alias(x) for x in ("_h", "_g")] if initials else [hashes("_h", n).alias("_h")]))
-        if initials:  # one after the other, without those that are the same
-            names = F.zip_with("_h", "_g", lambda h, g: F.when(h != g, g))
-            each = each.select(key, F.size("_h").alias("_n"), F.posexplode(F.concat("_h", names)).alias("at", "h"))
-            each = each.filter("h IS NOT NULL").select(key, F.expr("at % _n").alias("at"), "h")
-        else:
-            each = each.select(key, F.posexplode("_h").alias("at", "h"))
-        out = each if out is None else out.unionByName(each)
-    return out
+    arrays = ["_h", "_g"] if initials else ["_h"]
+    # outer: for a plain explode the optimizer adds a filter on the array's size, which makes all tokens twice
+    rows = rows.select(key, *arrays, F.posexplode_outer("_h").alias("at", "_t")).filter("at IS NOT NULL")
+
+    def hashed(of: str, n: int) -> Column:
+        whole = F.xxhash64(*[F.get(of, F.col("at") + j) for j in range(n)], F.lit(n))
+        return F.when(F.col("at") <= F.size(of) - n, whole)
+
+    rows = rows.select(key, "at", *[hashed(x, n).alias(f"{x}{n}") for n in sizes for x in arrays])
+    each = [F.col(f"_h{n}") for n in sizes]
+    if initials:  # without those that are the same
+        each += [F.when(F.col(f"_g{n}") != F.col(f"_h{n}"), F.col(f"_g{n}")) for n in sizes]
+    return rows.select(key, "at", F.explode(F.array(*each)).alias("h")).filter("h IS NOT NULL")
 
 
 def compared(pairs: DataFrame) -> DataFrame:
