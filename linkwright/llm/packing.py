@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +13,6 @@ from linkwright.llm.common import cut, only, prefix_totals, table, words
 N_BUCKETS = 16
 #: Padded tokens of a batch.
 BUDGET = 65_536
-#: Lengths up to 2**BITS are bins of their own, longer ones keep BITS leading bits.
-BITS = 10
 
 
 def word_tokens(text: Column) -> Column:
@@ -37,38 +37,39 @@ def tokenizer_counts(docs: DataFrame, path: str) -> DataFrame:
     return only(docs, "doc_id", "text").mapInArrow(counted, f"doc_id {kind}, n_tokens long")
 
 
-def length_bin(n: Column) -> Column:
-    low = F.greatest(F.length(F.bin(n)) - F.lit(BITS + 1), F.lit(0))
-    return F.call_function("shiftleft", F.call_function("shiftright", n, low), low)
-
-
 def best_bounds(lengths: np.ndarray, counts: np.ndarray, sums: np.ndarray, k: int) -> list[int]:
-    """Upper bounds of at most ``k`` buckets over sorted bins that leave the least padding.
+    """Upper bounds of at most ``k`` buckets over sorted unlike lengths that leave the least padding.
 
-    ``lengths`` are the bins' largest lengths.  Dynamic programming over the number
-    of buckets and the last bin: padding of bins i..j in one bucket is
-    lengths[j] * (rows in them) - (tokens in them).
+    Dynamic programming over the number of buckets and the last length: padding of
+    lengths i..j in one bucket is lengths[j] * (rows in them) - (tokens in them).  For
+    a given last length, each bucket before it is a line in that length, so the least
+    is read from the lines' lower hull, in time linear in the lengths for each bucket.
     """
-    n = len(lengths)
-    rows, tokens = np.concatenate([[0], np.cumsum(counts)]), np.concatenate([[0], np.cumsum(sums)])
-    k = min(k, n)
-    cost = lengths * rows[1:] - tokens[1:]  # one bucket for the first j + 1 bins
+    n, k = len(lengths), min(k, len(lengths))
+    tops = [int(x) for x in lengths]  # whole numbers of any size: products outgrow 64 bits
+    rows, tokens = ([0, *itertools.accumulate(int(x) for x in xs)] for xs in (counts, sums))
+    cost = [top * r - t for top, r, t in zip(tops, rows[1:], tokens[1:], strict=True)]  # one bucket for the first j + 1
     back = np.zeros((k, n), dtype=np.int64)
     for b in range(1, k):
-        new = np.empty(n, dtype=cost.dtype)
-        for j in range(n):
-            if j < b:
-                new[j], back[b, j] = 0, j
-                continue
-            i = np.arange(b - 1, j)  # the last bin of the bucket before
-            total = cost[i] + lengths[j] * (rows[j + 1] - rows[i + 1]) - (tokens[j + 1] - tokens[i + 1])
-            at = int(np.argmin(total))
-            new[j], back[b, j] = total[at], i[at]
+        new, hull, at = [0] * n, [], 0  # hull: (slope, height, last of the bucket before)
+        for j in range(b, n):
+            slope, height = -rows[j], cost[j - 1] + tokens[j]
+            while len(hull) > at + 1:
+                (s1, h1, _), (s2, h2, _) = hull[-2], hull[-1]
+                if (height - h1) * (s1 - s2) > (h2 - h1) * (s1 - slope):
+                    break
+                hull.pop()
+            hull.append((slope, height, j - 1))
+            x = tops[j]
+            while at + 1 < len(hull) and hull[at + 1][0] * x + hull[at + 1][1] < hull[at][0] * x + hull[at][1]:
+                at += 1
+            best = hull[at]
+            new[j], back[b, j] = best[0] * x + best[1] + x * rows[j + 1] - tokens[j + 1], best[2]
         cost = new
     bounds, j = [], n - 1
     for b in range(k - 1, -1, -1):
-        bounds.append(int(lengths[j]))
-        if b == 0 or (j < b and j == 0):
+        bounds.append(tops[j])
+        if j == 0 or b == 0:
             break
         j = int(back[b, j]) if j >= b else j - 1
     return sorted(set(bounds))
@@ -77,24 +78,24 @@ def best_bounds(lengths: np.ndarray, counts: np.ndarray, sums: np.ndarray, k: in
 def pack(lengths: DataFrame, n_buckets: int = N_BUCKETS, budget: int = BUDGET) -> DataFrame:
     """Bucket, padded length, batch and place in it of every row of (doc_id, n_tokens).
 
-    The global histogram of lengths (some thousand bins at any size, counted with
-    map-side aggregation) goes to the driver, where dynamic programming picks the
-    bucket bounds.  Bounds are exact up to 1,024 tokens and to one part in 512
-    beyond; padding goes to the largest length that a bucket holds.  Inside a
-    bucket, rows in the order of doc_id form batches of as many rows as the budget
-    of padded tokens allows, one at least: a longer document is a batch of its own.
-
-    Repeated and null ids are rows like others; an empty table gives no rows.
+    The global histogram of lengths, counted with map-side aggregation, goes to the
+    driver, where dynamic programming picks the bucket bounds of least padding.  So
+    many unlike lengths have a sum of half their number's square at least: a corpus
+    of T tokens has at most the square root of 2 T of them (6 million for 20 trillion
+    tokens, two numbers each).  Inside a bucket, rows in the order of doc_id form
+    batches of as many rows as the budget of padded tokens allows, one at least: a
+    longer document is a batch of its own.
+
+    Rows of equal doc_id stand in the order in which they were read; null ids come
+    first; a null length has no place; extra columns are ignored; an empty table gives
+    no rows; a length over the budget, however great, pads to its bucket like others.
     """
-    lengths = cut(only(lengths, "doc_id", "n_tokens"))
-    bins = (
-        lengths.groupBy(length_bin(F.col("n_tokens")).alias("bin"))
-        .agg(F.count("*").alias("n"), F.sum("n_tokens").alias("s"), F.max("n_tokens").alias("top"))
-        .orderBy("bin").collect()  # bins, not rows
-    )
-    column = lambda k: np.array([b[k] for b in bins], dtype=np.int64)
-    bounds = best_bounds(column("top"), column("n"), column("s"), n_buckets) if bins else [1]
-    firsts = [int(column("n")[column("top") <= b].sum()) if bins else 0 for b in [0, *bounds[:-1]]]
+    lengths = cut(only(lengths, "doc_id", "n_tokens").filter("n_tokens IS NOT NULL"))
+    bins = lengths.groupBy("n_tokens").agg(F.count("*").alias("n")).toArrow()
+    order = np.argsort(bins.column("n_tokens").to_numpy())
+    top, n = (bins.column(c).to_numpy()[order].astype(np.int64) for c in ("n_tokens", "n"))
+    bounds = best_bounds(top, n, top * n, n_buckets) if len(top) else [1]
+    firsts = [int(n[top <= b].sum()) for b in [0, *bounds[:-1]]]
     place = F.lit(0)
     for b in bounds[:-1]:
         place = place + (F.col("n_tokens") > b).cast("int")
@@ -110,7 +111,8 @@ def pack(lengths: DataFrame, n_buckets: int = N_BUCKETS, budget: int = BUDGET) -
 def pack_documents(docs: DataFrame, n_buckets: int = N_BUCKETS, budget: int = BUDGET, tokenizer: str | None = None) -> DataFrame:
     """``pack`` over whole texts: words and an end as tokens, or those of a tokenizer file.
 
-    Null and blank texts have the end alone.
+    Null and blank texts have the end alone; texts of any length are counted whole.
+    See ``pack`` for ties, repeated rows, empty tables and extra columns.
     """
     if tokenizer is None:
         lengths = docs.select("doc_id", word_tokens(F.col("text")).alias("n_tokens"))
