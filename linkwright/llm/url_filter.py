@@ -50,7 +50,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     all pages shuffles a row per linked host and partition only.
     """
     links = F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(r"""(?i)\bhref\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""), F.lit(1))
-    each = pages.select(host_of(F.col("url")).alias("src"), F.explode(links).alias("_to")).select("src", ascii_lower(F.col("_to")).alias("dst"))
+    each = pages.select(host_of(F.col("url")).alias("src"), F.explode_outer(links).alias("_to")).select("src", ascii_lower(F.col("_to")).alias("dst"))
     counts = each.filter("src <> '' AND dst <> '' AND src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
     out = counts.groupBy("src").agg(F.sum("n").alias("_all"))
     return counts.join(out, "src").select("src", "dst", (F.col("n") / F.col("_all")).alias("weight"))
