@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkwright.plans.staging import settled
+
 #: A word is a run of characters other than the six ASCII white-space ones.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -17,18 +17,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the cluster's shared checkpoint folder and drop its lineage.
+    """Materialise ``df`` in the cluster's shared checkpoint folder and drop its lineage."""
+    return settled(df)
+
 
-    The folder is the session's ``spark.checkpoint.dir``; a folder of our own is
-    made only where none is set, which is the case in local tests.
+def tidy(spark: SparkSession) -> None:
+    """Let the driver drop what finished steps have left: broadcast tables and shuffle files go when their plans are collected.
+
+    A small table takes megabytes as a broadcast, so many short steps would fill a
+    small driver before its collector gets to them.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoints-")
-        )
-    return df.checkpoint(eager=True)
+    spark._jvm.java.lang.System.gc()
 
 
 def width(spark: SparkSession) -> int:
@@ -91,12 +90,24 @@ def prefix_totals(df: DataFrame, order: list[str], sums: dict[str, str], parts:
 BROADCAST_IDS = 1_000_000
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without_ids(docs: DataFrame, bad: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
-    """The rows of ``docs`` whose doc_id isn't in ``bad``, with all their columns; null ids match null ids."""
-    bad = cut(bad.select(F.col("doc_id").alias("_bad")).distinct())
+    """The rows of ``docs`` whose doc_id isn't in ``bad``, with all their columns, whatever these are called.
+
+    Null ids match null ids; rows of one id stay or go together.
+    """
+    gone = free_name(docs, "_bad")
+    bad = cut(bad.select(F.col("doc_id").alias(gone)).distinct())
     if bad.count() <= limit:
         bad = F.broadcast(bad)
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col(gone)), "left_anti")
 
 
 class Sent:
