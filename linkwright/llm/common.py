@@ -16,18 +16,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the cluster's shared checkpoint folder and drop its lineage."""
-    return settled(df)
-
-
 def tidy(spark: SparkSession) -> None:
-    """Let the driver drop what finished steps have left: broadcast tables and shuffle files go when their plans are collected.
+    """Let a driver with little free memory drop what finished steps have left.
 
-    A small table takes megabytes as a broadcast, so many short steps would fill a
-    small driver before its collector gets to them.
+    Broadcast tables and shuffle files go when their plans are collected.  A small
+    table takes megabytes as a broadcast, so many short steps would fill a small
+    driver before its collector gets to them.
     """
-    spark._jvm.java.lang.System.gc()
+    heap = spark._jvm.java.lang.Runtime.getRuntime()
+    if heap.totalMemory() - heap.freeMemory() > 0.3 * heap.maxMemory():
+        spark._jvm.java.lang.System.gc()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` in the cluster's shared checkpoint folder and drop its lineage."""
+    tidy(df.sparkSession)
+    return settled(df)
 
 
 def width(spark: SparkSession) -> int:

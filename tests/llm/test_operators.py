@@ -56,6 +56,7 @@ def test_near_duplicates_match_brute_force(spark, near_copies, monkeypatch, smal
     monkeypatch.setattr(near_dups, "SMALL", small)
     monkeypatch.setattr(near_dups, "PIVOTS", pivots)
     monkeypatch.setattr(near_dups, "BLOCK", block)
+    monkeypatch.setattr(near_dups, "DIRECT_BLOCKS", 2 if small == 12 else near_dups.DIRECT_BLOCKS)
     want = brute_components(near_copies, 2, 80)
     got = near_dups.near_duplicates(spark.createDataFrame(near_copies, DOCS), 2, 80).collect()
     assert {r.doc_id: r.component_id for r in got} == want
@@ -94,6 +95,7 @@ def test_boilerplate_makes_no_pairs(spark, monkeypatch):
     rng = random.Random(4)
     base = [f"b{i}" for i in range(75)]
     made = []
+    monkeypatch.setattr(near_dups, "DIRECT_BLOCKS", 2)
 
     def watched(name):
         inner = getattr(near_dups, name)
