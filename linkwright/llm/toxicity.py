@@ -16,7 +16,7 @@ from linkwright.llm.linear import Rows, fit_logistic, sigmoid
 #: Labelled rows to fit on at most (those of least hash of the id), and features at most.
 MAX_TRAIN = 12_000
 MAX_FEATURES = 16_384
-#: A feature must be in so many training texts.
+#: A feature must be in so many training texts (in half of them, where there are fewer than twice as many).
 MIN_TEXTS = 5
 FOLDS = 3
 L2 = 2.0
@@ -118,8 +118,9 @@ def fit_chain(x: Rows, marks: np.ndarray, folds: np.ndarray, n_folds: int = FOLD
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_features: int = MAX_FEATURES) -> Chain:
     """Fit the chain on a bounded sample of labelled documents.
 
-    The features are the words and word beginnings in most training texts, whatever
-    their labels, so that their choice tells nothing about a fold held out.
+    The features are the words and word beginnings in most training texts, MIN_TEXTS
+    at least, whatever their labels, so that their choice tells nothing about a fold
+    held out.  ``max_train`` and ``max_features`` bound what the driver fits.
     """
     marks = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("quality").alias("quality"))
     marks = marks.withColumn("_h", F.xxhash64("doc_id")).orderBy("_h", "doc_id").limit(max_train)
@@ -140,7 +141,8 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN, max_fe
         yield flush()
 
     top = texts.select("text").mapInArrow(counted, "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
-    top = top.filter(F.col("n") >= MIN_TEXTS).orderBy(F.desc("n"), "feature").limit(max_features)
+    least = max(1, min(MIN_TEXTS, texts.count() // 2))
+    top = top.filter(F.col("n") >= least).orderBy(F.desc("n"), "feature").limit(max_features)
     vocabulary = {r["feature"]: i for i, r in enumerate(top.orderBy(F.desc("n"), "feature").collect())}
 
     def sparse(batches: Iterator) -> Iterator:
