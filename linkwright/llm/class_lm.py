@@ -23,7 +23,6 @@ SINGLE_WORDS, ENDINGS, ENDING_BYTES = 1_000, 128, 4
 #: neighbours; rarer and unseen words keep that of their ending.
 LEAST_COUNT = 2
 CLASSES = 64
-SWEEPS = 8
 #: The end of a text as a word; words hold no blank, so none is like it.
 END = b" "
 DISCOUNT = 0.5
@@ -146,12 +145,12 @@ def xlogx(a: np.ndarray) -> np.ndarray:
     return a * np.log(np.maximum(a, 1e-300))
 
 
-def exchange(n: np.ndarray, n_classes: int, sweeps: int = SWEEPS) -> np.ndarray:
+def exchange(n: np.ndarray, n_classes: int) -> np.ndarray:
     """The class of each unit, from the units' bigram counts.
 
     The end has class 0 for itself.  Units start in turn, most frequent first, and
     move one at a time to the class that raises the likelihood of the class bigrams
-    most, until a sweep moves none.
+    most, until a sweep moves none: each move raises it, so this ends.
     """
     size = len(n)
     weight = n.sum(axis=0) + n.sum(axis=1)
@@ -162,7 +161,7 @@ def exchange(n: np.ndarray, n_classes: int, sweeps: int = SWEEPS) -> np.ndarray:
         cls[u] = 1 + k % (n_classes - 1)
     member = np.eye(n_classes)[cls]
     m = member.T @ n @ member
-    for _ in range(sweeps):
+    while True:
         moved = 0
         for u in order:
             if not weight[u]:
@@ -191,8 +190,7 @@ def exchange(n: np.ndarray, n_classes: int, sweeps: int = SWEEPS) -> np.ndarray:
             m[:, new] += left
             m[new, new] += own
         if not moved:
-            break
-    return cls
+            return cls
 
 
 @dataclass
@@ -424,18 +422,15 @@ def class_rows(docs: DataFrame, table: DataFrame, model: Model) -> DataFrame:
                 rows.append((row, END + str(row).encode(), None, head))
                 rows += [(row, w, p, None) for w, p in places.items()]
                 if len(rows) > 50_000:
-                    yield packed(pa, rows)
+                    yield packed(pa, b.schema.field("doc_id").type, rows)
                     rows = []
-            yield packed(pa, rows)
+            yield packed(pa, b.schema.field("doc_id").type, rows)
 
-    def packed(pa, rows: list[tuple]):
-        head = pa.struct([("doc_id", doc_type(pa)), ("crc", pa.int64()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("exact", pa.float64()), ("codes", pa.binary())])
+    def packed(pa, id_type, rows: list[tuple]):
+        head = pa.struct([("doc_id", id_type), ("crc", pa.int64()), ("n", pa.int64()), ("known", pa.int64()), ("base", pa.float64()), ("exact", pa.float64()), ("codes", pa.binary())])
         cols = list(zip(*rows, strict=True)) or [()] * 4
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.list_(pa.int32()), head), strict=True)], ["_row", "word", "places", "head"])
 
-    def doc_type(pa):
-        return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[id_kind]
-
     def filled(batches: Iterator) -> Iterator:
         import pyarrow as pa
 

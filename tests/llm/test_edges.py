@@ -68,3 +68,37 @@ def test_pages(spark):
     assert got[:3] == [(1, "", "", None, "allow"), (2, "", "", None, "allow"), (3, "", "", None, "allow")]
     assert got[3] == got[4] == (4, "sub.example.org", "/es/q", "example.org/es/", "block")
     assert url_filter.judge_pages(pages.limit(0)).collect() == []
+
+
+def test_pipeline_stages(spark, tmp_path):
+    """Nulls, blanks, a text of 100,000 words, repeats and clashing columns pass every stage; an empty table stays empty."""
+    import corpus_pipeline
+
+    long = " ".join(f"word{i % 9973}" for i in range(100_000))
+    rows = [*ROWS, (8, long, "en", "a"), (9, long, "en", "a"), (10, "   ", None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("n_chars", F.length("text"))
+    for clash in ("_bad", "_BAD_", "_n", "share", "score", "predicted", "is_toxic", "kept", "bucket", "_row", "fp"):
+        docs = docs.withColumn(clash, F.lit("clash"))
+    labels = spark.createDataFrame([(1, 1, 0), (3, 1, 0), (5, 1, 1), (6, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    for name, df in (("labels", labels), ("benchmark", spark.createDataFrame([(1, "three four five six seven"), (2, None)], "item_id long, text string"))):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, str(tmp_path))
+        assert stage(spark, docs.limit(0), str(tmp_path)).collect() == [], name
+        if name != "packing":
+            assert got.columns == docs.columns, name
+            ids = [r.doc_id for r in got.select("doc_id").collect()]
+            assert ids.count(6) in (0, 2) and set(ids) <= {r[0] for r in rows}, name  # rows of one id stay or go together
+        if name == "near_dedup":
+            assert 8 in ids and 9 not in ids and 1 in ids and 6 not in ids and {2, 3, 4, 10, None} <= set(ids)
+        if name == "decontaminate":
+            assert set(ids) == {r[0] for r in rows} - {1, 6}
+        if name == "packing":
+            assert sorted(str(r.doc_id) for r in got.collect()) == sorted(str(r[0]) for r in rows)
+
+
+@pytest.mark.parametrize("kind", ["smallint", "decimal(10,0)", "string"])
+def test_ids_of_other_types(spark, kind):
+    docs = spark.createDataFrame([(i, f"some words {i % 3} and more") for i in range(30)], "doc_id long, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    assert class_lm.lm_scores(docs, n_classes=4).select("doc_id").distinct().count() == 30
+    assert near_dups.near_duplicates(docs, 2).filter("kept").count() == 3
