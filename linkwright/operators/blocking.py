@@ -75,13 +75,15 @@ def open_keys(s1: DataFrame, targets: DataFrame, rules: tuple[Rule, ...]) -> Dat
 def rule_pairs(s1: DataFrame, targets: DataFrame, rules: tuple[Rule, ...] = RULES, drop_none: bool = True) -> DataFrame:
     """(s1_id, cand_id, rule): pairs of equal country and key under every rule, in one join.
 
-    Crowded keys are removed from both sides first, so the join's output is bounded
-    by the guard: at most max_s1 * max_target pairs of a key.
+    Crowded keys are removed from both sides before the pairs are made, so a join of
+    open keys alone is shuffled, and its output is bounded by the guard: at most
+    max_s1 * max_target pairs of a key.
     """
     a, b = key_rows(s1, rules, drop_none), key_rows(targets, rules, drop_none)
     keys = open_keys(a, b, rules)
-    a = a.join(keys, KEY).withColumnRenamed("entity_id", "s1_id")
-    return a.join(b.withColumnRenamed("entity_id", "cand_id"), KEY).select("s1_id", "cand_id", "rule")
+    a = a.join(keys, KEY, "left_semi").withColumnRenamed("entity_id", "s1_id")
+    b = b.join(keys, KEY, "left_semi").withColumnRenamed("entity_id", "cand_id")
+    return a.join(b, KEY).select("s1_id", "cand_id", "rule")
 
 
 def combined(pairs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

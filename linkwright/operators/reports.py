@@ -37,7 +37,7 @@ def pattern_shares(df: DataFrame, column: str, patterns: dict[str, str], lower:
 
 def token_presence(df: DataFrame, column: str, wanted: list[str] | None = None) -> DataFrame:
     """(token, n): rows that have each token, once a row."""
-    each = df.select(F.explode(F.array_distinct(tokens(F.col(column)))).alias("token"))
+    each = df.select(F.explode_outer(F.array_distinct(tokens(F.col(column)))).alias("token")).filter("token IS NOT NULL")  # outer: no filter that splits twice
     if wanted is not None:
         each = each.filter(F.col("token").isin(wanted))
     return each.groupBy("token").agg(F.count("*").alias("n"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import argparse
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkwright.sources.records import match_targets, read_ids, source_path
 from linkwright.sources.results import CANDIDATES, MATCHES, parse_results
 
 SHOWN = 5
@@ -30,6 +32,7 @@ def offenders(rows: DataFrame, required: DataFrame, known: DataFrame | None = No
     s1 = lists.select(F.col("s1").alias("id"))
     each = lists.select(F.explode("ids").alias("id")).distinct()
     target = F.col("id").startswith("S2-") | F.col("id").startswith("S3-")
+    place = [F.lit("line "), (F.col("line") + 1).cast("string"), *([F.lit(" of "), F.substring_index("file", "/", -1)] if "file" in rows.columns else [])]
     found = [
         ("duplicate_row", s1.groupBy("id").agg(F.count("*").alias("_n")).filter("_n > 1")),
         ("repeated_id", lists.filter(F.size("ids") != F.size(F.array_distinct("ids"))).select(F.col("s1").alias("id"))),
@@ -37,7 +40,7 @@ def offenders(rows: DataFrame, required: DataFrame, known: DataFrame | None = No
         ("wrong_prefix", each.filter(~F.col("id").startswith("S1-") & ~target)),
         ("missing_s1", required.select("id").join(s1, "id", "left_anti")),
         ("extra_s1", s1.join(required.select("id"), "id", "left_anti")),
-        ("malformed_row", rows.filter("rest IS NULL AND trim(s1) <> ''").select(F.concat(F.lit("line "), (F.col("line") + 1).cast("string")).alias("id"))),
+        ("malformed_row", rows.filter("rest IS NULL AND trim(s1) <> ''").select(F.concat(*place).alias("id"))),
     ]
     if known is not None:
         found.append(("unknown_id", each.filter(target).join(known.select("id"), "id", "left_anti")))
@@ -82,3 +85,24 @@ def validate(spark, matches: str, candidates: str | None, required: DataFrame, k
         if n:
             warnings.append(f"{n} S1 records have matches that aren't among their candidates")
     return errors, warnings
+
+
+def main(args: list[str] | None = None) -> int:
+    """Check result files from a command line: prints errors and warnings; the exit code is 1 with errors, else 0."""
+    p = argparse.ArgumentParser(description="check a match file and its candidate file")
+    p.add_argument("matches")
+    p.add_argument("--candidates")
+    p.add_argument("--data", help="folder of the record files")
+    p.add_argument("--split", default="test")
+    p.add_argument("--ids", action="store_true", help="check also that matched ids exist")
+    a = p.parse_args(args)
+    spark = SparkSession.builder.getOrCreate()
+    required = read_ids(spark, source_path(a.data or "data", a.split, 1))
+    known = match_targets(spark, a.data or "data", a.split) if a.ids else None
+    errors, warnings = validate(spark, a.matches, a.candidates, required, known)
+    print("\n".join([*[f"error: {x}" for x in errors], *[f"warning: {x}" for x in warnings], "FAIL" if errors else "OK"]))
+    return int(bool(errors))
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

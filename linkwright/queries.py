@@ -489,7 +489,7 @@ CAPPED = (RECORDS, pairs_cte(blocking.RULES), COMBINED, RANKED)
 
 
 def capped(spark, d):
-    return blocking.ranked(blocking.combined(all_pairs(spark, d)))
+    return settled(blocking.ranked(blocking.combined(all_pairs(spark, d))))
 
 
 @query(select(*CAPPED, last="""
@@ -672,7 +672,7 @@ def look_alike_pairs(spark, d):
 def matcher_scores(spark, d):
     """The logistic matcher fitted and scored on look-alike pairs with their features."""
     norm, s1, targets = normalized(spark, d)
-    rows = features.pair_features(sampling.look_alikes(s1, targets, truth(spark, d)), norm).persist()
+    rows = settled(features.pair_features(sampling.look_alikes(s1, targets, truth(spark, d)), norm))
     return matcher.Matcher().fit(rows, features.FEATURES, "label").predict(rows).select("s1_id", "cand_id", "label", "p", "predicted")
 
 
@@ -680,7 +680,7 @@ def matcher_scores(spark, d):
 def out_of_fold_scores(spark, d):
     norm, s1, targets = normalized(spark, d)
     rows = features.pair_features(sampling.look_alikes(s1, targets, truth(spark, d)), norm)
-    rows = rows.join(sampling.folds(linkage.s1_ids(s1)), "s1_id").persist()
+    rows = settled(rows.join(sampling.folds(linkage.s1_ids(s1)), "s1_id"))
     return matcher.out_of_fold(rows, ["name_3gram_jacc", "addr_tok_jacc", "house_sim", "name_token_set"], "label", k=2, rounds=5).select("s1_id", "cand_id", "label", "p")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linkwright.functions.text import id_list, text
@@ -72,17 +72,33 @@ def gather_records(records: DataFrame, ids: DataFrame, check: bool = True) -> Da
     return found
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, value): the lines of a text file or of a folder's files, numbered from 0 in each.
+
+    Splits of a file are numbered on their own; a row per split, with the lines
+    before it, makes the numbers run through.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_id"), "value"
+    )
+    splits = lines.groupBy("file", "_block").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)  # a row per split
+    splits = splits.select("file", "_block", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return lines.join(splits, ["file", "_block"]).select("file", (F.col("_id") - F.col("_first") + F.col("_before")).alias("line"), "value")
+
+
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """(id): the distinct first columns of a tab-separated file, without header and blank lines."""
-    lines = spark.read.text(path).withColumn("_at", F.monotonically_increasing_id())
-    first = lines.agg(F.min("_at")).collect()[0][0]
-    rows = lines.filter((F.col("_at") != F.lit(first if first is not None else -1)) & (F.trim("value") != ""))
+    """(id): the distinct first columns of a tab-separated file or of a folder's files, without their headers and blank lines."""
+    rows = numbered_lines(spark, path).filter((F.col("line") > 0) & (F.trim("value") != ""))
     return rows.select(F.trim(F.substring_index("value", "\t", 1)).alias("id")).distinct()
 
 
+def match_targets(spark: SparkSession, folder: str, split: str) -> DataFrame:
+    """(id): the ids of both target sources, which a result may name."""
+    return read_ids(spark, source_path(folder, split, 2)).unionByName(read_ids(spark, source_path(folder, split, 3))).distinct()
+
+
 def sample_per_group(df: DataFrame, group: str, n: int, key: str) -> DataFrame:
     """Up to ``n`` rows of each group, those of least hash of the key."""
-    from pyspark.sql import Window
-
     w = Window.partitionBy(group).orderBy(F.xxhash64(key), key)
     return df.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= n).drop("_k")

@@ -3,19 +3,38 @@
 from __future__ import annotations
 
 import json
+import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linkwright.sources.records import numbered_lines
+
 MATCHES = ("source1_entity_id", "matched_entity_ids")
 CANDIDATES = ("source1_entity_id", "candidate_entity_ids")
+#: So many unlike headers of a folder's files are looked at: one that isn't as expected is a finding.
+SHOWN_HEADS = 20
 PLAIN = {"sep": "\t", "header": True, "quote": "", "emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "lineSep": "\n"}
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
-    """Overwrite a folder of parquet parts; readers see it once ``_SUCCESS`` is there."""
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    """Replace a folder of parquet parts: the new one is written beside it and renamed when it is whole.
+
+    Where a job fails, the old folder stands as it was.
+    """
+    spark = df.sparkSession
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    new, old = f"{path}.{uuid.uuid4().hex}", hadoop(path)
+    files = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        df.write.option("compression", "zstd").parquet(new)
+    except Exception:
+        files.delete(hadoop(new), True)
+        raise
+    files.delete(old, True)
+    if not files.rename(hadoop(new), old):
+        raise OSError(f"{new} can't be renamed to {path}")
 
 
 def written(spark: SparkSession, path: str) -> bool:
@@ -60,25 +79,26 @@ def write_json(report: dict | list, path: str) -> None:
 
 
 def parse_results(spark: SparkSession, path: str, expected: tuple[str, str]) -> tuple[DataFrame, list[str]]:
-    """Rows (line, s1, rest) of a result file, and what makes it unreadable.
+    """Rows (file, line, s1, rest) of a result file, or of a folder of them, and what makes it unreadable.
 
-    The header must be the expected names, in any case, between tabs.  A row's
-    ``rest`` is null where it has no tab.
+    Every file has a header: the expected names, in any case, between tabs.  Lines
+    are numbered from 0, the header, in each file.  A row's ``rest`` is null where it
+    has no tab.
     """
+    none = spark.createDataFrame([], "file string, line long, s1 string, rest string")
     try:
-        lines = spark.read.text(path).withColumn("line", F.monotonically_increasing_id())
-        head = [r["value"] for r in lines.orderBy("line").limit(1).collect()]
+        lines = numbered_lines(spark, path)
+        heads = [r["value"] for r in lines.filter("line = 0").groupBy("value").count().orderBy(F.desc("count"), "value").limit(SHOWN_HEADS).collect()]
     except Exception as e:  # a missing or unreadable file is a finding
-        return spark.createDataFrame([], "line long, s1 string, rest string"), [f"unreadable: {path}: {str(e).splitlines()[0]}"]
-    empty = lines.limit(0).select("line", F.col("value").alias("s1"), F.col("value").alias("rest"))
-    if not head:
-        return empty, [f"{path} is empty"]
-    if "\t" not in head[0] and "," in head[0]:
-        return empty, [f"{path} is comma-separated, not tab-separated"]
-    if [c.strip().lower() for c in head[0].split("\t")] != list(expected):
-        return empty, [f"{path}: the header is {head[0]!r}, not {list(expected)}"]
-    rows = lines.filter(F.col("line") > 0)
-    return rows.select(
-        "line", F.substring_index("value", "\t", 1).alias("s1"),
+        return none, [f"unreadable: {path}: {str(e).splitlines()[0]}"]
+    if not heads:
+        return none, [f"{path} is empty"]
+    for head in heads:
+        if "\t" not in head and "," in head:
+            return none, [f"{path} is comma-separated, not tab-separated"]
+        if [c.strip().lower() for c in head.split("\t")] != list(expected):
+            return none, [f"{path}: the header is {head!r}, not {list(expected)}"]
+    return lines.filter(F.col("line") > 0).select(
+        "file", "line", F.substring_index("value", "\t", 1).alias("s1"),
         F.when(F.instr("value", "\t") > 0, F.expr("substring(value, instr(value, '\t') + 1)")).alias("rest"),
     ), []
