@@ -323,7 +323,7 @@ def neighbours(docs: DataFrame, model: Model, singles: int) -> DataFrame:
                 at = at[own] << 16
                 kept += [at + cls[:-2][own], at + (k + cls[2:][own])]
                 size += len(ws)
-                if size > 4_000_000:
+                if size > 2_000_000:
                     yield from flush()
         if kept:
             yield from flush()
