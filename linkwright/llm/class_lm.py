@@ -44,7 +44,7 @@ def ending_sql(word: Column) -> Column:
 class Ids(dict):
     """Word -> number: a dictionary word's rank, or the dictionary's size plus the number of its ending."""
 
-    KEEP = 400_000
+    KEEP = 50_000
 
     def __init__(self, ranked: list[bytes]):
         super().__init__(zip(ranked, range(len(ranked)), strict=True))
