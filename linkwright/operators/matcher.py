@@ -118,25 +118,24 @@ def importances(model, columns: list[str]) -> dict[str, float]:
 def decision_grid(scored: DataFrame, s1: DataFrame, truth: DataFrame) -> DataFrame:
     """(method, a, b, macro_f05) of all decisions on scored pairs (s1_id, cand_id, p, y), in one plan.
 
-    Pairs are crossed with the 21 settings (a fixed number), so that one pass scores
-    all of them; S1s without a chosen pair enter by their counts.
+    Every setting is a pair of sums per S1, so that pairs are dealt by S1 once and
+    never copied; S1s without a chosen pair enter by their counts.
     """
     from pyspark.sql import Window
 
-    spark = scored.sparkSession
-    settings = [("threshold", t, 0.0) for t in THRESHOLDS] + [("expected_f", c, r) for c, r in EXPECTED_F]
-    grid = F.broadcast(spark.createDataFrame(settings, "method string, a double, b double"))
     own = one_owner(scored).select("s1_id", "cand_id", "p", "y")
     group = Window.partitionBy("s1_id")
     order = group.orderBy(F.desc("p"), "cand_id")
     own = own.withColumns({"_k": F.row_number().over(order), "_sum": F.sum("p").over(order.rowsBetween(Window.unboundedPreceding, 0)), "_all": F.sum("p").over(group)})
     own = own.withColumn("_no", F.exp(F.sum(F.log1p(-F.least("p", F.lit(1 - 1e-6)))).over(group)))
-    each = own.crossJoin(grid).withColumn("_e", 1.25 * F.col("_sum") / (0.25 * (F.col("_all") + F.col("a")) + F.col("_k")))
-    best = F.max(F.struct("_e", (-F.col("_k")).alias("k"))).over(Window.partitionBy("method", "a", "b", "s1_id"))
-    each = each.withColumn("_best", best)
-    chosen = F.when(F.col("method") == "threshold", F.col("p") >= F.col("a")).otherwise((F.col("_k") <= -F.col("_best.k")) & (F.col("_best._e") > F.col("b") * F.col("_no")))
-    counts = each.filter(chosen).groupBy("method", "a", "b", "s1_id").agg(F.count("*").alias("n_pred"), F.sum("y").alias("tp"))
+    places = {c: f"_best{i}" for i, c in enumerate(sorted({c for c, _ in EXPECTED_F}))}
+    worth = lambda c: F.struct((1.25 * F.col("_sum") / (0.25 * (F.col("_all") + c) + F.col("_k"))).alias("e"), (-F.col("_k")).alias("k"))
+    own = own.withColumns({at: F.max(worth(c)).over(group) for c, at in places.items()})
+    settings = [("threshold", t, 0.0, F.col("p") >= t) for t in THRESHOLDS]
+    settings += [("expected_f", c, r, (F.col("_k") <= -F.col(f"{places[c]}.k")) & (F.col(f"{places[c]}.e") > r * F.col("_no"))) for c, r in EXPECTED_F]
+    sums = [f(chosen).alias(f"{n}{i}") for i, (*_, chosen) in enumerate(settings) for n, f in (("n", F.count_if), ("tp", lambda c: F.sum(F.when(c, F.col("y")).otherwise(0))))]
+    counts = own.groupBy("s1_id").agg(*sums)
     n_true = truth.select("s1_id", "cand_id").distinct().groupBy("s1_id").agg(F.count("*").alias("n_true"))
-    base = s1.select("s1_id").distinct().join(n_true, "s1_id", "left").na.fill(0, ["n_true"]).crossJoin(grid)
-    full = base.join(counts, ["method", "a", "b", "s1_id"], "left").na.fill(0, ["n_pred", "tp"])
-    return full.groupBy("method", "a", "b").agg(F.avg(f_beta(F.col("n_true"), F.col("n_pred"), F.col("tp"))).alias("macro_f05"))
+    full = s1.select("s1_id").distinct().join(n_true, "s1_id", "left").join(counts, "s1_id", "left").na.fill(0)
+    means = [F.struct(F.lit(m).alias("method"), F.lit(a).alias("a"), F.lit(b).alias("b"), F.avg(f_beta(F.col("n_true"), F.col(f"n{i}"), F.col(f"tp{i}"))).alias("macro_f05")) for i, (m, a, b, _) in enumerate(settings)]
+    return full.agg(F.array(*means).alias("_m")).select(F.explode("_m").alias("_m")).select("_m.*")

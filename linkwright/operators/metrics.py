@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from linkwright.plans.staging import settled
+
 BETA = 0.5
 BUCKETS = ("0 (singleton)", "1", "2", "3", "4", "5", "6+")
 KS = (1, 2, 3, 4, 5, 6, 8, 10, 12, 15, 20, 25, 30, 40, 50)
@@ -143,28 +145,43 @@ def best_threshold(scored: DataFrame, grid: list[float] | None = None, beta: flo
     return threshold_grid(scored, grid, beta).orderBy(F.desc("f_beta"), "t").first()["t"]
 
 
+def before(df: DataFrame, order: list, value: str, name: str) -> DataFrame:
+    """The rows with ``name``: the sum of ``value`` over all rows that precede in a total order.
+
+    Rows are dealt by range and frozen; totals of the parts and running sums inside
+    each part make up the sum, so no task orders all rows.
+    """
+    dealt = settled(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part
+    totals = dealt.groupBy("_part").agg(F.sum(value).alias("_t")).select("_part", F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_o"))
+    inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = dealt.join(F.broadcast(totals), "_part")
+    return out.withColumn(name, F.col("_o") + F.coalesce(F.sum(value).over(inside), F.lit(0))).drop("_part", "_o")
+
+
 def feature_auc(df: DataFrame, features: list[str], label: str = "y", least: int = 0) -> DataFrame:
     """(feature, coverage, auc, strength): the area under the ROC curve of each feature, nulls left out.
 
-    Values and their counts by label are aggregated first; average ranks come from a
-    running sum over the distinct values of a feature.  Features of one value, one
-    label or up to ``least`` rows are left out.
+    Values and their counts by label are aggregated first; average ranks come from
+    running sums over the distinct values.  Features of one value, one label or up to
+    ``least`` rows are left out.
     """
-    total = df.count()
     each = df.select(F.col(label).alias("y"), F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features])).alias("e"))
-    bins = each.select("y", "e.*").filter("v IS NOT NULL").groupBy("feature", "v").agg(F.sum("y").alias("pos"), F.count("*").alias("n"))
-    w = Window.partitionBy("feature").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    ranks = bins.withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    bins = each.select("y", "e.*").groupBy("feature", "v").agg(F.sum("y").alias("pos"), F.count("*").alias("n"))
+    ranks = before(bins, ["feature", F.col("v").asc_nulls_last()], "n", "before")  # missing values last, so that no rank counts them
+    there = F.col("v").isNotNull()
     got = ranks.groupBy("feature").agg(
-        F.sum(F.col("pos") * (F.col("before") + (F.col("n") + 1) / 2)).alias("s"), F.sum("pos").alias("p"), F.sum("n").alias("n"), F.count("*").alias("values")
-    ).filter((F.col("values") > 1) & (F.col("p") > 0) & (F.col("p") < F.col("n")) & (F.col("n") > least))
-    auc = (F.col("s") - F.col("p") * (F.col("p") + 1) / 2) / (F.col("p") * (F.col("n") - F.col("p")))
-    return got.select("feature", (F.col("n") / total).alias("coverage"), auc.alias("auc"), F.greatest(auc, 1 - auc).alias("strength"))
+        F.sum(F.when(there, F.col("pos") * (F.col("before") + (F.col("n") + 1) / 2))).alias("s"), F.min("before").alias("first"), F.sum("n").alias("total"),
+        F.sum(F.when(there, F.col("pos"))).alias("p"), F.sum(F.when(there, F.col("n"))).alias("n"), F.count("v").alias("values"),
+    ).filter((F.col("values") > 1) & (F.col("p") > 0) & (F.col("p") < F.col("n")) & (F.col("n") > least))
+    auc = (F.col("s") - F.col("p") * F.col("first") - F.col("p") * (F.col("p") + 1) / 2) / (F.col("p") * (F.col("n") - F.col("p")))
+    return got.select("feature", (F.col("n") / F.col("total")).alias("coverage"), auc.alias("auc"), F.greatest(auc, 1 - auc).alias("strength"))
 
 
 def average_precision(scored: DataFrame, label: str = "y", score: str = "p") -> DataFrame:
     """One row: the mean precision over recall steps, ties in one step."""
     bins = scored.groupBy(F.col(score).alias("v")).agg(F.sum(label).alias("pos"), F.count("*").alias("n"))
-    w = Window.orderBy(F.desc("v")).rowsBetween(Window.unboundedPreceding, 0)
-    run = bins.withColumn("tp", F.sum("pos").over(w)).withColumn("k", F.sum("n").over(w))
-    return run.agg(F.try_divide(F.sum(F.col("pos") * F.col("tp") / F.col("k")), F.sum("pos")).alias("average_precision"))
+    order = [F.desc("v")]
+    run = before(before(bins, order, "pos", "_tp"), order, "n", "_n")
+    tp, k = F.col("_tp") + F.col("pos"), F.col("_n") + F.col("n")
+    return run.agg(F.try_divide(F.sum(F.col("pos") * tp / k), F.sum("pos")).alias("average_precision"))

@@ -2,25 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkwright.functions.text import text
 
 
+def drawn(key: str, seed: int) -> Column:
+    """The md5 of the seed and the key: the same order in any engine."""
+    return F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string")))
+
+
 def exact_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows: those of least seeded hash of the key."""
-    return df.orderBy(F.xxhash64(F.lit(seed), key), key).limit(n)
+    return df.orderBy(drawn(key, seed), key).limit(n)
 
 
 def folds(s1: DataFrame, k: int = 5, seed: int = 42, key: str = "s1_id") -> DataFrame:
     """(key, fold): balanced folds, one apart in size at most.
 
-    Rows are dealt to 4,096 buckets by hash and numbered in their bucket; bucket
-    totals, of which the driver's plan sees 4,096 rows at most, give each bucket's
-    offset, so no task orders all rows.
+    Rows are numbered in the order of their hashes, modulo ``k``.  They are dealt to
+    4,096 buckets by the first three digits of the hash and numbered in their bucket;
+    bucket totals, 4,096 rows at most, give each bucket's offset, so no task orders
+    all rows.
     """
-    rows = s1.select(key).distinct().withColumn("_h", F.xxhash64(F.lit(seed), key)).withColumn("_b", F.pmod("_h", F.lit(4096)))
+    rows = s1.select(key).distinct().withColumn("_h", drawn(key, seed)).withColumn("_b", F.substring("_h", 1, 3))
     sizes = rows.groupBy("_b").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
@@ -52,12 +58,12 @@ def look_alikes(s1: DataFrame, targets: DataFrame, truth: DataFrame, per_key: in
     for k in ("nkey", "akey"):
         a = s1.filter(F.col(k) != "").select(F.col("entity_id").alias("s1_id"), k)
         b = targets.filter(F.col(k) != "").select(F.col("entity_id").alias("cand_id"), k)
-        w = Window.partitionBy(k).orderBy(F.xxhash64(F.lit(seed), "cand_id"), "cand_id")
+        w = Window.partitionBy(k).orderBy(drawn("cand_id", seed), "cand_id")
         b = b.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= per_key).drop("_r")
         m = a.join(b, k).select("s1_id", "cand_id")
         found = m if found is None else found.unionByName(m)
     true = truth.select("s1_id", "cand_id").distinct()
     false = found.distinct().join(true, ["s1_id", "cand_id"], "left_anti")
-    w = Window.partitionBy("s1_id").orderBy(F.xxhash64(F.lit(seed), "cand_id"), "cand_id")
+    w = Window.partitionBy("s1_id").orderBy(drawn("cand_id", seed), "cand_id")
     false = false.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= per_s1).drop("_r")
     return true.withColumn("label", F.lit(1)).unionByName(false.withColumn("label", F.lit(0)))
