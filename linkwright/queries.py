@@ -7,6 +7,7 @@ true pair.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +20,12 @@ from linkwright.functions.fuzzy import similarities
 from linkwright.operators import blocking, decision, features, matcher, metrics, reports, sampling, validate
 from linkwright.operators.normalize import normalize
 from linkwright.plans import linkage
-from linkwright.plans.staging import settled
+from linkwright.plans.staging import settled, shared_folder
+from linkwright.sources import records as files
+from linkwright.sources import results
 from linkwright.sources.records import truth_pairs, truth_sets
 from linkwright.sources.results import candidate_lists, match_lists
+from linkwright.streaming.normalize_stream import normalize_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -711,6 +715,111 @@ def validator_outside_candidates(spark, d):
     return validate.outside_candidates(rows, offered)
 
 
+# ------------------------------------------------------------------ files
+
+
+def folder(spark) -> str:
+    """A new folder in the shared one."""
+    return f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+
+
+def source_files(spark, d) -> str:
+    """The folder of the test records as record files, several parts each."""
+    at, rows = folder(spark), records(spark, d)
+    for i in files.SOURCES:
+        results.write_tsv(rows.filter(F.col("entity_id").startswith(f"S{i}-")).repartition(3), files.source_path(at, "train", i))
+    return at
+
+
+def read_back(spark, at: str) -> DataFrame:
+    first, *others = (files.read_source(spark, at, "train", i) for i in files.SOURCES)
+    for o in others:
+        first = first.unionByName(o)
+    return first
+
+
+@query(select(RECORDS, last="SELECT entity_id, business_name, business_address, country FROM records"))
+def record_files(spark, d):
+    """Records written to files and read again."""
+    return read_back(spark, source_files(spark, d))
+
+
+@query(select(RECORDS, last="SELECT entity_id, business_name FROM records WHERE entity_id LIKE 'S2-%'"))
+def record_file_columns(spark, d):
+    return files.read_source(spark, source_files(spark, d), "train", 2, ["entity_id", "business_name"])
+
+
+@query(select(RECORDS, last="SELECT * EXCLUDE (country), country FROM norm"))
+def streamed_records(spark, d):
+    """Record files normalised by the file stream, two files a batch."""
+    at, out = source_files(spark, d), folder(spark)
+    normalize_files(spark, f"{at}/*", f"{out}/rows", f"{out}/state", 2).awaitTermination()
+    return spark.read.parquet(f"{out}/rows")
+
+
+@query(select(WIDE, last="SELECT s1_id, trim(m) AS match_id FROM (SELECT s1_id, unnest(string_split(ids, ',')) AS m FROM wide) WHERE m <> ''"))
+def truth_file(spark, d):
+    at = folder(spark)
+    results.write_tsv(wide_truth(spark, d).repartition(3), at)
+    return truth_pairs(files.read_truth(spark, at))
+
+
+@query(select(RECORDS, last="SELECT entity_id AS id FROM records WHERE entity_id NOT LIKE 'S1-%'"))
+def target_ids(spark, d):
+    """The ids of both target files."""
+    return files.match_targets(spark, source_files(spark, d), "train")
+
+
+@query(select(RECORDS, BASE, last="SELECT * FROM records SEMI JOIN (SELECT cand_id AS entity_id FROM base) USING (entity_id)"))
+def gathered_records(spark, d):
+    """The records of all baseline candidates."""
+    return files.gather_records(records(spark, d), base(spark, d).select(F.col("cand_id").alias("entity_id")))
+
+
+@query(select(RECORDS, last="SELECT * FROM records WHERE entity_id LIKE 'S1-%' QUALIFY row_number() OVER (PARTITION BY country ORDER BY md5('42:' || entity_id), entity_id) <= 10"))
+def records_per_country(spark, d):
+    return files.sample_per_group(records(spark, d).filter(F.col("entity_id").startswith("S1-")), "country", 10, "entity_id")
+
+
+@query(select(RECORDS, last="SELECT * FROM records WHERE country IN ('Brand#3', 'Brand#5')"))
+def records_of_countries(spark, d):
+    return files.of_countries(records(spark, d), ["brand#3 ", "Brand#5"])
+
+
+@query(select(RECORDS, BASE, RULE_OWNED, last="SELECT entity_id AS s1, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS rest FROM norm LEFT JOIN rule_owned ON s1_id = entity_id WHERE entity_id LIKE 'S1-%' GROUP BY entity_id"))
+def parsed_match_file(spark, d):
+    """The match file in several parts, parsed as the validator does."""
+    at = folder(spark)
+    results.write_tsv(match_file(spark, d).repartition(3), at)
+    rows, fatal = results.parse_results(spark, at, results.MATCHES)
+    if fatal:
+        raise ValueError(fatal)
+    return rows.select("s1", "rest")
+
+
+@query(select(RESULT_ROWS, last="""
+, lines AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS line FROM orders)
+SELECT 'malformed_row' AS rule, 'line ' || (line + 1) AS offender FROM lines WHERE o_orderkey % 7 = 0"""))
+def malformed_lines(spark, d):
+    """Lines without a tab of a result file in one part."""
+    at = folder(spark)
+    lines = table(spark, d, "orders").selectExpr("1 AS part", "o_orderkey", "if(o_orderkey % 7 = 0, concat('S1-', o_custkey), concat('S1-', o_custkey, '\\tS2-', o_custkey)) AS value")
+    head = spark.createDataFrame([(0, None, "\t".join(results.MATCHES))], "part int, o_orderkey long, value string")
+    head.unionByName(lines).orderBy("part", "o_orderkey").coalesce(1).select("value").write.text(at)
+    rows, _ = results.parse_results(spark, at, results.MATCHES)
+    none = spark.createDataFrame([], "id string")
+    found = validate.offenders(rows, none).filter("rule = 'malformed_row'")
+    return found.withColumn("offender", F.regexp_replace("offender", " of .*", ""))
+
+
+@query(select(RECORDS, last="SELECT *, 2 AS written FROM norm"))
+def parquet_replaced(spark, d):
+    """Normal forms written, kept by a second run, and replaced by a forced one."""
+    at, norm = folder(spark), settled(normalize(records(spark, d)))
+    made = [results.write_once(norm, at), results.write_once(norm.limit(0), at), results.write_once(norm, at, force=True)]
+    return spark.read.parquet(at).withColumn("written", F.lit(sum(made)))
+
+
 # ------------------------------------------------------------------ reports
 
 SAME = {c: f"a.{c} = b.{c}" for c in ("name_norm", "name_core", "name_key", "name_compact")}

@@ -98,7 +98,12 @@ def match_targets(spark: SparkSession, folder: str, split: str) -> DataFrame:
     return read_ids(spark, source_path(folder, split, 2)).unionByName(read_ids(spark, source_path(folder, split, 3))).distinct()
 
 
-def sample_per_group(df: DataFrame, group: str, n: int, key: str) -> DataFrame:
-    """Up to ``n`` rows of each group, those of least hash of the key."""
-    w = Window.partitionBy(group).orderBy(F.xxhash64(key), key)
+def of_countries(records: DataFrame, countries: list[str]) -> DataFrame:
+    """The records of some countries, whatever the case and the blanks around their names."""
+    return records.filter(F.lower(F.trim(text(F.col("country")))).isin([c.strip().lower() for c in countries]))
+
+
+def sample_per_group(df: DataFrame, group: str, n: int, key: str, seed: int = 42) -> DataFrame:
+    """Up to ``n`` rows of each group, those of least seeded hash of the key."""
+    w = Window.partitionBy(group).orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key)
     return df.withColumn("_k", F.row_number().over(w)).filter(F.col("_k") <= n).drop("_k")
