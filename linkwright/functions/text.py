@@ -101,11 +101,25 @@ def script_of(c: Column) -> Column:
     return out.otherwise("other")
 
 
+def hangul(c: Column) -> Column:
+    """Korean syllables in Latin letters: a syllable's place in its block tells its three parts."""
+    part = lambda k, at: F.element_at(F.array(*[F.lit(x) for x in L.HANGUL[k]]), at + 1)
+
+    def spelled(ch: Column) -> Column:
+        n = F.ascii(ch) - 0xAC00
+        return F.when(ch.between("가", "힣"), F.concat(part(0, F.floor(n / 588).cast("int")), part(1, F.floor(n % 588 / 28).cast("int")), part(2, (n % 28).cast("int")))).otherwise(ch)
+
+    return F.when(c.rlike("[가-힣]"), joined(F.transform(F.split(c, ""), spelled), "")).otherwise(c)
+
+
 def romanise(c: Column) -> Column:
-    """Letters and signs of the Brahmic scripts in Latin letters, without inherent vowels."""
+    """Letters of the Brahmic scripts (without inherent vowels), Cyrillic, Greek, Arabic, Hebrew and Hangul in Latin letters."""
     table = {chr(b + o): v for b in L.BRAHMIC_BLOCKS for o, v in L.BRAHMIC.items()}
     table |= {chr(b + 0x66 + d): str(d) for b in L.BRAHMIC_BLOCKS for d in range(10)}
-    return per_character(c, table, c.rlike(r"[\x{0900}-\x{0D7F}]"))
+    c = per_character(c, table, c.rlike(r"[\x{0900}-\x{0D7F}]"))
+    letters = {**L.CYRILLIC, **L.GREEK, **L.ARABIC, **L.HEBREW}
+    letters |= {k.upper(): v for k, v in letters.items() if len(k.upper()) == 1}
+    return hangul(per_character(c, letters, c.rlike(r"[\x{0370}-\x{06FF}]")))
 
 
 def fix_digits(c: Column) -> Column:

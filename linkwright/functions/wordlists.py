@@ -88,6 +88,24 @@ BRAHMIC = {
     0x4A: "o", 0x4B: "o", 0x4C: "au", 0x4D: "", 0x5F: "y",
 }
 BRAHMIC_BLOCKS = [0x0900, 0x0980, 0x0A00, 0x0A80, 0x0B00, 0x0B80, 0x0C00, 0x0C80, 0x0D00]
+# Letters of further scripts in Latin letters, in the order of the alphabets.
+CYRILLIC = dict(zip(
+    "абвгдеёжзийклмнопрстуфхцчшщъыьэюяіїєґ",
+    "a b v g d e yo zh z i y k l m n o p r s t u f kh ts ch sh shch  y  e yu ya i yi ye g".split(" "), strict=True,
+))
+GREEK = dict(zip(
+    "αβγδεζηθικλμνξοπρσςτυφχψωάέήίόύώϊϋ",
+    "a v g d e z i th i k l m n x o p r s s t y f ch ps o a e i i o y o i y".split(" "), strict=True,
+))
+ARABIC = dict(zip("ابتثجحخدذرزسشصضطظعغفقكلمنهويءآأإةىپچژگ", "a b t th j h kh d dh r z s sh s d t z a gh f q k l m n h w y  a a i a a p ch zh g".split(" "), strict=True))
+HEBREW = dict(zip("אבגדהוזחטיךכלםמןנסעףפץצקרשת", "a b g d h v z h t y k k l m m n n s a p p ts ts k r sh t".split(" "), strict=True))
+# Parts of Korean syllables: first consonants, vowels, last consonants.
+HANGUL = (
+    "g kk n d tt r m b pp s ss  j jj ch k t p h".split(" "),
+    "a ae ya yae eo e yeo ye o wa wae oe yo u wo we wi yu eu ui i".split(" "),
+    " k k ks n nj nh t l lk lm lp ls lt lp lh m p ps t t ng t t k t p t".split(" "),
+)
+
 # Scripts told apart, by the regular-expression names of the JVM.
 SCRIPTS = (
     "Greek Cyrillic Armenian Hebrew Arabic Devanagari Bengali Gurmukhi Gujarati Oriya Tamil Telugu Kannada Malayalam "

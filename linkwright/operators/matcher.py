@@ -12,11 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkwright.operators.decision import one_owner
-from linkwright.operators.metrics import best_threshold, f_beta
+from linkwright.operators.metrics import average_precision, best_threshold, f_beta, feature_auc
+from linkwright.plans.staging import settled
 
 MISSING = -1.0
-THRESHOLDS = (0.3, 0.35, 0.4, 0.45, 0.5, 0.55, 0.6, 0.65, 0.7)
-EXPECTED_F = tuple((c, r) for c in (0.0, 0.1, 0.2) for r in (0.75, 1.0, 1.25, 1.5))
+# The decisions that are compared.
+THRESHOLDS = (0.3, 0.4, 0.5, 0.55, 0.6, 0.65, 0.7, 0.8, 0.9)
+EXPECTED_F = tuple((c, r) for c in (0.0, 0.5, 1.0) for r in (1.0, 1.5, 2.0, 3.0))
 
 
 def filled(df: DataFrame, features: list[str]) -> tuple[DataFrame, list[str]]:
@@ -94,23 +96,100 @@ def boosted(df: DataFrame, features: list[str], label: str, rounds: int, held: s
     return Pipeline(stages=[VectorAssembler(inputCols=columns, outputCol="_x"), tree]).fit(df), columns
 
 
-def out_of_fold(df: DataFrame, features: list[str], label: str = "y", fold: str = "fold", k: int = 5, rounds: int = 20, early: bool = True) -> DataFrame:
+def out_of_fold(df: DataFrame, features: list[str], label: str = "y", fold: str = "fold", k: int = 5, rounds: int = 20, early: bool = True, trees: list[int] | None = None) -> DataFrame:
     """The rows with p from a model that didn't train on their fold (modulo k).
 
     With ``early``, a model stops by its error on the fold that it scores, as the
-    usual practice has it; such scores are a little optimistic.
+    usual practice has it; such scores are a little optimistic.  ``trees`` takes each
+    model's number of trees.
     """
     out = None
     df = df.withColumn("_f", F.pmod(F.col(fold), F.lit(k))).withColumn(label, F.col(label).cast("double"))
     for i in range(k):
         held = df.withColumn("_held", F.col("_f") == i)
         model, _ = boosted(held if early else held.filter("NOT _held"), features, label, rounds, "_held" if early else None)
+        if trees is not None:
+            trees.append(model.stages[-1].getNumTrees)
         part = model.transform(filled(held.filter("_held"), features)[0]).withColumn("p", vector_to_array("probability")[1])
         part = part.select(*[c for c in df.columns if c not in ("_f", *features)], "p")
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def labelled(pairs: DataFrame, truth: DataFrame, folded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of the S1s of ``folded`` (s1_id, fold) with y and fold, and (s1_id, n_true) of all these S1s."""
+    true = truth.select("s1_id", "cand_id").distinct()
+    rows = pairs.join(folded.select("s1_id", "fold"), "s1_id").join(true.withColumn("_y", F.lit(1)), ["s1_id", "cand_id"], "left")
+    counts = true.groupBy("s1_id").agg(F.count("*").alias("n_true"))
+    return rows.withColumn("y", F.coalesce("_y", F.lit(0))).drop("_y"), folded.select("s1_id").join(counts, "s1_id", "left").na.fill(0, ["n_true"])
+
+
+def best_decision(grid: DataFrame) -> tuple[dict, float]:
+    """The setting of highest macro F0.5 in a decision grid, as ``decide`` takes it, and its score; ties go to the first by name and values."""
+    r = grid.orderBy(F.desc("macro_f05"), F.desc("method"), "a", "b").first()
+    names = ("t",) if r["method"] == "threshold" else ("c", "r")
+    return {"method": r["method"], **dict(zip(names, (r["a"], r["b"]), strict=False))}, r["macro_f05"]
+
+
+class Boosted:
+    """Boosted trees with the decision chosen on out-of-fold scores.
+
+    ``fit`` scores every fold with a model of the others, takes the decision of
+    highest macro F0.5, and fits a last model on all rows, with as many trees as the
+    folds' models had on average.
+    """
+
+    def __init__(self, rounds: int = 20, k: int = 5):
+        self.rounds, self.k = rounds, k
+        self.features, self.model, self.columns, self.decision, self.macro_f05, self.trees = [], None, [], {}, 0.0, 0
+
+    def fit(self, df: DataFrame, features: list[str], s1: DataFrame, truth: DataFrame, label: str = "y", fold: str = "fold") -> DataFrame:
+        """The out-of-fold scores (s1_id, cand_id, p, y); the model is kept."""
+        made: list[int] = []
+        oof = out_of_fold(df, features, label, fold, self.k, self.rounds, trees=made)
+        oof = settled(oof.select("s1_id", "cand_id", "p", F.col(label).cast("int").alias("y")))
+        self.decision, self.macro_f05 = best_decision(decision_grid(oof, s1, truth))
+        self.features, self.trees = list(features), max(1, sum(made) // len(made))
+        self.model, self.columns = boosted(df.withColumn(label, F.col(label).cast("double")), features, label, self.trees)
+        return oof
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """The rows with a probability p."""
+        out = self.model.transform(filled(df, self.features)[0]).withColumn("p", vector_to_array("probability")[1])
+        return out.select(*[c for c in df.columns if c not in self.features], *self.features, "p")
+
+    def importances(self) -> dict[str, float]:
+        return importances(self.model, self.columns)
+
+    def save(self, path: str) -> None:
+        self.model.write().overwrite().save(f"{path}/model")
+        note = json.dumps({"features": self.features, "columns": self.columns, "decision": self.decision, "dev_macro_f05": self.macro_f05, "n_trees": self.trees})
+        _session().createDataFrame([(note,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/settings")
+
+    @classmethod
+    def load(cls, path: str) -> Boosted:
+        note, out = json.loads(_session().read.text(f"{path}/settings").first()["value"]), cls()
+        out.features, out.columns, out.decision, out.macro_f05, out.trees = (note[k] for k in ("features", "columns", "decision", "dev_macro_f05", "n_trees"))
+        out.model = PipelineModel.load(f"{path}/model")
+        return out
+
+
+NAME_FEATURES = ("name_", "legal", "cand_is", "script", "cand_non")
+
+
+def feature_groups(df: DataFrame, features: list[str], label: str = "label", k: int = 3, rounds: int = 20) -> DataFrame:
+    """(features, auc, average_precision, precision, recall) out of fold, by name features alone and by all; rows have folds."""
+    from functools import reduce
+
+    out = []
+    for name, cols in (("name", [c for c in features if c.startswith(NAME_FEATURES)]), ("all", list(features))):
+        oof = settled(out_of_fold(df, cols, label, k=k, rounds=rounds, early=False).select("p", F.col(label).alias("y")))
+        rates = oof.agg(F.avg(F.when(F.col("p") > 0.5, F.col("y"))).alias("precision"), F.avg(F.when(F.col("y") == 1, (F.col("p") > 0.5).cast("double"))).alias("recall"))
+        one = feature_auc(oof, ["p"]).select("auc").crossJoin(average_precision(oof)).crossJoin(rates)  # a row each
+        out.append(one.select(F.lit(name).alias("features"), "auc", "average_precision", "precision", "recall"))
+    return reduce(DataFrame.unionByName, out)
+
+
 def importances(model, columns: list[str]) -> dict[str, float]:
     return dict(sorted(zip(columns, map(float, model.stages[-1].featureImportances.toArray()), strict=True), key=lambda kv: -kv[1]))
 

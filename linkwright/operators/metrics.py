@@ -60,6 +60,20 @@ def by_country(scores: DataFrame, countries: DataFrame) -> DataFrame:
     return scores.join(countries, "s1_id", "left").groupBy(F.coalesce("country", F.lit("?")).alias("country")).agg(F.count("*").alias("n"), F.avg("f05").alias("f05"))
 
 
+def score_report(scores: DataFrame, countries: DataFrame | None = None) -> str:
+    """Text: overall, by the number of true matches, and by country; the tables have a row per class."""
+    scores = settled(scores)
+    m = macro(scores).first()
+    lines = [
+        f"macro F0.5 {m['macro_f05']:.4f} on {m['total_evaluated_entities']:,} S1; pairs: precision {m['pair_precision']:.4f}, "
+        f"recall {m['pair_recall']:.4f}; predicted empty {100 * m['pred_empty_rate']:.1f} %", "by true matches:",
+    ]
+    lines += [f"  {r['bucket']}: n {r['n']:,}, F0.5 {r['f05']:.4f}, empty {r['empty_pred']:.4f}" for r in by_bucket(scores).orderBy("bucket").collect()]
+    if countries is not None:
+        lines += ["by country:", *[f"  {r['country']}: n {r['n']:,}, F0.5 {r['f05']:.4f}" for r in by_country(scores, countries).orderBy("country").collect()]]
+    return "\n".join(lines)
+
+
 def rule_precision(pairs: DataFrame, truth: DataFrame) -> DataFrame:
     """Pairs and share of true ones per combination of the baseline's rules."""
     hit = pairs.join(truth.select("s1_id", "cand_id").distinct().withColumn("_t", F.lit(1.0)), ["s1_id", "cand_id"], "left")

@@ -18,7 +18,7 @@ from linkwright.functions import text as T
 from linkwright.functions import wordlists as L
 from linkwright.functions.fuzzy import similarities
 from linkwright.operators import blocking, decision, features, matcher, metrics, reports, sampling, validate
-from linkwright.operators.normalize import normalize
+from linkwright.operators.normalize import normalize, with_name
 from linkwright.plans import linkage
 from linkwright.plans.staging import settled, shared_folder
 from linkwright.sources import records as files
@@ -218,6 +218,32 @@ def text_scripts(spark, d):
     return table(spark, d, "documents").select("doc_id", T.script_of(F.col("text")).alias("script"))
 
 
+def noisy(spark, d) -> DataFrame:
+    """Part names as a web address, in Cyrillic, with a dotted legal form, or with digits for letters."""
+    return table(spark, d, "part").selectExpr(
+        "p_partkey", "CASE p_size % 4 WHEN 0 THEN concat('https://www.', replace(p_name, ' ', '-'), '.com/') WHEN 1 THEN translate(p_name, 'abvgdeziklmnoprstuf', 'абвгдезиклмнопрстуф') "
+        "WHEN 2 THEN concat(upper(p_name), ' P.L.L.C.') ELSE replace(p_name, 'o', '0') END AS business_name",
+    )
+
+
+@query("""SELECT p_partkey, CASE p_size % 4 WHEN 2 THEN p_name || ' pllc' WHEN 3
+    THEN array_to_string(list_transform(string_split(p_name, ' '), lambda w: CASE WHEN len(w) >= 4 THEN regexp_replace(w, 'o$', '0') ELSE replace(w, 'o', '0') END), ' ') ELSE p_name END AS name_norm,
+  CASE p_size % 4 WHEN 2 THEN 'pllc' ELSE '' END AS legal, (p_size % 4 = 0)::INT AS name_is_domain, CASE p_size % 4 WHEN 1 THEN 'cyrillic' ELSE 'latin' END AS name_script FROM part""")
+def noisy_names(spark, d):
+    return with_name(noisy(spark, d)).select("p_partkey", "name_norm", "legal", "name_is_domain", "name_script")
+
+
+@query("""SELECT p_partkey, CASE p_size % 5 WHEN 0 THEN 'greek' WHEN 1 THEN 'cyrillic' WHEN 2 THEN 'hangul' WHEN 3 THEN 'hebrew' ELSE 'latin' END AS script,
+  CASE p_size % 5 WHEN 0 THEN p_name WHEN 1 THEN p_name WHEN 2 THEN 'seoul ' || p_name WHEN 3 THEN 'shlvm ' || p_name ELSE p_name END AS name FROM part""")
+def scripts_romanised(spark, d):
+    """Part names with letters of other scripts, told apart and in Latin letters."""
+    name = F.expr(
+        "CASE p_size % 5 WHEN 0 THEN translate(p_name, 'adegiklmnoprstz', 'αδεγικλμνοπρστζ') WHEN 1 THEN translate(p_name, 'abvgdeziklmnoprstuf', 'абвгдезиклмнопрстуф') "
+        "WHEN 2 THEN concat('서울 ', p_name) WHEN 3 THEN concat('שלום ', p_name) ELSE p_name END"
+    )
+    return table(spark, d, "part").select("p_partkey", T.script_of(name).alias("script"), T.romanise(name).alias("name"))
+
+
 LEGACY = """
 WITH r AS (SELECT s_suppkey, lower(s_name || ' mfg & co. corp') AS n, lower(s_nationkey || ' main st. opp rd, apt 4') AS a FROM supplier)
 SELECT s_suppkey, trim(regexp_replace(regexp_replace(replace(regexp_replace(regexp_replace(regexp_replace(n, '\\bcorp\\b', 'corporation', 'g'), '\\bco\\b', 'company', 'g'), '\\bmfg\\b',
@@ -631,9 +657,40 @@ def recall_at_k(spark, d):
     return metrics.recall_at_k(capped(spark, d), truth(spark, d), linkage.s1_ids(normalized(spark, d)[1]))
 
 
-@query(select(*CAPPED, TRUTH, last="SELECT * FROM truth ANTI JOIN ranked USING (s1_id, cand_id)"))
+@query(select(RECORDS, BASE, TRUTH, last="SELECT * FROM truth ANTI JOIN (SELECT * FROM base WHERE R3 = 1) USING (s1_id, cand_id)"))
 def missed_pairs(spark, d):
-    return reports.missed(truth(spark, d), capped(spark, d))
+    """True pairs that the address rule alone misses."""
+    return reports.missed(truth(spark, d), decision.variant(base(spark, d), "addr_only"))
+
+
+@query(select(RECORDS, pairs_cte(blocking.RULES), COMBINED, RANKED.replace("rank < 50", "rank < 5"), last="SELECT * FROM ranked"))
+def block_capped_five(spark, d):
+    """Candidates cut at five an S1."""
+    _, s1, targets = normalized(spark, d)
+    return blocking.candidates(s1, targets, most=5)
+
+
+SINGLE = TRUTH.replace("FROM part", "FROM part WHERE p_size % 3 <> 0")
+SINGLE_SCORES = SCORES.replace("JOIN (SELECT s1_id, count(*) AS n FROM truth GROUP BY ALL) k USING (s1_id)", "LEFT JOIN (SELECT s1_id, count(*) AS n FROM truth GROUP BY ALL) k USING (s1_id)").replace(
+    "any_value(k.n) AS n_true", "coalesce(any_value(k.n), 0) AS n_true"
+)
+
+
+def single_scores(spark, d):
+    """Scores where a third of the S1s has no true match."""
+    norm, s1, targets = normalized(spark, d)
+    true = truth(spark, d).join(table(spark, d, "part").filter("p_size % 3 <> 0").selectExpr("concat('S1-', p_partkey) AS s1_id"), "s1_id", "left_semi")
+    return metrics.entity_scores(decision.one_owner_by_rules(blocking.baseline_pairs(s1, targets)), true, linkage.s1_ids(s1))
+
+
+@query(select(RECORDS, BASE, RULE_OWNED, SINGLE, SINGLE_SCORES, last="SELECT * FROM scores"))
+def entity_f05_singletons(spark, d):
+    return single_scores(spark, d)
+
+
+@query(select(RECORDS, BASE, RULE_OWNED, SINGLE, SINGLE_SCORES, last="SELECT CASE n_true WHEN 0 THEN '0 (singleton)' ELSE n_true::VARCHAR END AS bucket, count(*) AS n, avg(f05) AS f05, avg((n_pred = 0)::INT) AS empty_pred FROM scores GROUP BY 1"))
+def f05_by_bucket_singletons(spark, d):
+    return metrics.by_bucket(single_scores(spark, d))
 
 
 @query(select(RECORDS, BASE, SCORED, last=f"""

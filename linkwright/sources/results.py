@@ -78,6 +78,29 @@ def write_json(report: dict | list, path: str) -> None:
     Path(path).write_text(json.dumps(report, indent=2, default=str))
 
 
+def read_json(path: str) -> dict | list:
+    return json.loads(Path(path).read_text())
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """A report table as comma-separated files with a header."""
+    df.write.mode("overwrite").options(header=True, sep=",", quoteAll=False, escape='"').csv(path)
+
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Comma-separated files with a header, all columns text."""
+    return spark.read.options(header=True, sep=",", escape='"', multiLine=True).csv(path)
+
+
+def write_marker(spark: SparkSession, path: str, value: str) -> None:
+    """A line of text that a later stage reads."""
+    spark.createDataFrame([(value,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_marker(spark: SparkSession, path: str) -> str:
+    return spark.read.text(path).first()["value"].strip()
+
+
 def parse_results(spark: SparkSession, path: str, expected: tuple[str, str]) -> tuple[DataFrame, list[str]]:
     """Rows (file, line, s1, rest) of a result file, or of a folder of them, and what makes it unreadable.
 
