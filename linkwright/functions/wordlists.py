@@ -56,7 +56,6 @@ STOP_WORDS = (
     "the and inc ltd corp llc pvt for new co company group services private limited enterprises solutions "
     "technologies holdings industries association sarl sas eurl sa sasu sci"
 ).split()
-STOP_WORDS_SHORT = STOP_WORDS[:21]
 GENERIC_WORDS = (
     "enterprises solutions technologies services group industries holdings consulting properties management "
     "associates partners ventures global international systems agency logistics products marketing center "

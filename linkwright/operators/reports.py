@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkwright.functions import similarity as S
@@ -14,17 +14,17 @@ from linkwright.operators.features import sided
 
 # Patterns whose share of texts is reported.
 LEGAL_PATTERNS = {
-    "SARL": r"\bsarl\b", "SAS": r"\bsas\b", "EURL": r"\beurl\b", "SA": r"\bsa\b", "SASU": r"\bsasu\b", "SCI": r"\bsci\b",
-    "CIE / SOCIETE": r"\b(cie|societe)\b", "ASSOCIATION": r"\bassociation\b", "SNC": r"\bsnc\b", "SCA / GIE": r"\b(sca|gie)\b",
+    "sarl": r"\bsarl\b", "sas": r"\bsas\b", "eurl": r"\beurl\b", "sa": r"\bsa\b", "sasu": r"\bsasu\b", "sci": r"\bsci\b",
+    "company or society": r"\b(cie|societe)\b", "association": r"\bassociation\b", "snc": r"\bsnc\b", "sca or gie": r"\b(sca|gie)\b",
 }
 STREET_PATTERNS = {
-    "rue (street)": r"\brue\b", "avenue / av": r"\b(avenue|av)\b", "allée / allee": r"\b(allée|allee)\b", "boulevard / bd": r"\b(boulevard|bd)\b",
-    "impasse": r"\bimpasse\b", "route / rte": r"\b(route|rte)\b", "chemin": r"\bchemin\b", "place / pl": r"\b(place|pl)\b", "cedex": r"\bcedex\b",
+    "street": r"\brue\b", "avenue": r"\b(avenue|av)\b", "alley": r"\b(allée|allee)\b", "boulevard": r"\b(boulevard|bd)\b",
+    "dead end": r"\bimpasse\b", "road": r"\b(route|rte)\b", "path": r"\bchemin\b", "square": r"\b(place|pl)\b", "business mail": r"\bcedex\b",
 }
 POSTAL_PATTERNS = {"five digits": r"\b([0-9]{5})\b", "five digits or nine": r"\b([0-9]{5}(?:-[0-9]{4})?)\b", "six digits": r"\b([1-9][0-9]{5})\b"}
 NUMBER_PATTERN = r"(?i)\b(?:\#|no\.?|plot|flat|door|shop|h\.?no)?\s*[0-9]+[a-z]?\b"
 ACCENTS = "[éèêëàâîïôùûçÉÈÊËÀÂÎÏÔÙÛÇ]"
-STREET_TOKENS = "rue avenue boulevard impasse allee route chemin place".split()
+WRITING_PATTERNS = {"number": NUMBER_PATTERN, "accent": ACCENTS}
 DISCREPANCIES = ("subset", "typo", "word order", "shared core", "moderate", "heavy")
 
 
@@ -94,6 +94,20 @@ def discrepancies(gap: DataFrame) -> DataFrame:
     return gap.groupBy("discrepancy").agg(F.count("*").alias("n"))
 
 
+def discrepancy_table(gap: DataFrame) -> DataFrame:
+    """(discrepancy, n, percent) of residual pairs, in percent of all of them."""
+    return discrepancies(gap).crossJoin(F.broadcast(gap.agg(F.count("*").alias("_all")))).select("discrepancy", "n", (100 * F.col("n") / F.col("_all")).alias("percent"))
+
+
+def unshared_tokens(gap: DataFrame, most: int = 10) -> DataFrame:
+    """(discrepancy, token, n): the ``most`` tokens of each class that are on one side of its pairs only, by pairs; ties by token."""
+    x, y = F.array_distinct(tokens(F.col("l_name_norm"))), F.array_distinct(tokens(F.col("r_name_norm")))
+    each = gap.select("discrepancy", F.explode(F.concat(F.array_except(x, y), F.array_except(y, x))).alias("token"))
+    counts = each.groupBy("discrepancy", "token").agg(F.count("*").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("discrepancy").orderBy(F.desc("n"), "token"))
+    return counts.withColumn("_r", rank).filter(F.col("_r") <= most).drop("_r")
+
+
 def metric_means(gap: DataFrame) -> DataFrame:
     """(metric, mean) of residual pairs."""
     names = ("ratio", "token_sort", "token_set", "token_jaccard", "char_ngram")

@@ -940,9 +940,48 @@ def postal_shares(spark, d):
     return reports.pattern_shares(records(spark, d), "business_address", reports.POSTAL_PATTERNS)
 
 
-@query(_shares_sql("text", {"SAS": r"(^|[^\pL\pN_\pM])sas($|[^\pL\pN_\pM])", "SA": r"(^|[^\pL\pN_\pM])sa($|[^\pL\pN_\pM])"}, "documents"))
+#: Legal forms and streets as French records have them, in turn.
+FORMS = "SARL SAS EURL SA SASU SCI Cie Association SNC GIE Ltd".split()
+ROADS = "rue avenue allée bd impasse rte chemin pl cedex lane".split()
+
+
+def _in_turn(words: list[str]) -> str:
+    return f"element_at(array({', '.join(repr(w) for w in words)}), cast(p_partkey % {len(words)} as int) + 1)"
+
+
+def french(spark, d) -> DataFrame:
+    return table(spark, d, "part").selectExpr(f"concat(p_name, ' ', {_in_turn(FORMS)}) AS name", f"concat(if(p_size % 3 = 0, 'No. 12b ', ''), {_in_turn(ROADS)}, ' ', p_name) AS address")
+
+
+FRENCH = f"(SELECT p_name || ' ' || ({FORMS!r})[p_partkey % {len(FORMS)} + 1] AS name, CASE WHEN p_size % 3 = 0 THEN 'No. 12b ' ELSE '' END || ({ROADS!r})[p_partkey % {len(ROADS)} + 1] || ' ' || p_name AS address FROM part)"
+
+
+@query(_shares_sql("name", reports.LEGAL_PATTERNS, FRENCH))
 def legal_shares(spark, d):
-    return reports.pattern_shares(table(spark, d, "documents"), "text", {k: reports.LEGAL_PATTERNS[k] for k in ("SAS", "SA")})
+    return reports.pattern_shares(french(spark, d), "name", reports.LEGAL_PATTERNS)
+
+
+@query(_shares_sql("address", reports.STREET_PATTERNS, FRENCH))
+def street_shares(spark, d):
+    return reports.pattern_shares(french(spark, d), "address", reports.STREET_PATTERNS)
+
+
+@query(_shares_sql("address", reports.WRITING_PATTERNS, FRENCH).replace("lower(address)", "address"))
+def writing_shares(spark, d):
+    return reports.pattern_shares(french(spark, d), "address", reports.WRITING_PATTERNS, lower=False)
+
+
+@query(select(*RESIDUAL, last="SELECT discrepancy, count(*) AS n, 100 * count(*) / sum(count(*)) OVER () AS percent FROM residual GROUP BY 1"))
+def discrepancy_table(spark, d):
+    return reports.discrepancy_table(settled(unlike_pairs(spark, d)))
+
+
+@query(select(*RESIDUAL, last="""
+, each AS (SELECT discrepancy, unnest(list_concat(list_filter(list_distinct(x), lambda t: NOT list_contains(y, t)), list_filter(list_distinct(y), lambda t: NOT list_contains(x, t)))) AS token
+  FROM (SELECT discrepancy, string_split(a, ' ') AS x, string_split(b, ' ') AS y FROM residual))
+SELECT discrepancy, token, count(*) AS n FROM each GROUP BY discrepancy, token QUALIFY row_number() OVER (PARTITION BY discrepancy ORDER BY n DESC, token) <= 10"""))
+def unshared_tokens(spark, d):
+    return reports.unshared_tokens(unlike_pairs(spark, d))
 
 
 # ------------------------------------------------------------------ samples and models
