@@ -26,7 +26,7 @@ def test_every_repeated_word_gets_the_class_of_its_neighbours(spark, monkeypatch
     df = class_lm.texts(spark.createDataFrame(docs, DOCS))
     counts = class_lm.word_counts(df)
     m = class_lm.train(df, counts, n_classes=9, dictionary=40)
-    table = class_lm.word_classes(df, m, 6).localCheckpoint()
+    table = class_lm.word_classes(df, m, 6).checkpoint()
     want = Counter(w for _, t in docs for w in t.encode().split())
     assert {bytes(r.word): r.n for r in table.collect()} == want
     cls = {bytes(r.word).decode(): r.cls for r in table.collect()}
@@ -34,7 +34,7 @@ def test_every_repeated_word_gets_the_class_of_its_neighbours(spark, monkeypatch
     assert not sets[0] & sets[1]
     assert all(cls[w.decode()] == m.class_of[m.ids.size + class_lm.ending(w)] for w, n in want.items() if n == 1)
 
-    rows = class_lm.class_rows(df, table, m).localCheckpoint()
+    rows = class_lm.class_rows(df, table, m).checkpoint()
     step, in_class, unknown = class_lm.refit(rows, table, m)
     assert np.allclose((10**step).sum(axis=1), 1)
     assert in_class.sum() == sum(want.values()) + len(docs)
