@@ -70,6 +70,10 @@ def normalized(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataF
     return norm, *linkage.split_sources(norm)
 
 
+def s1_ids(spark: SparkSession, d: str) -> DataFrame:
+    return linkage.s1_ids(linkage.split_sources(records(spark, d))[0])
+
+
 def truth(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "part").selectExpr("concat('S1-', p_partkey) AS s1_id", "concat('S2-', p_partkey) AS cand_id")
 
@@ -580,8 +584,7 @@ def truth_set_sizes(spark, d):
 
 
 def scores(spark, d):
-    _, s1, _ = normalized(spark, d)
-    return metrics.entity_scores(decision.one_owner_by_rules(base(spark, d)), truth(spark, d), linkage.s1_ids(s1))
+    return metrics.entity_scores(decision.one_owner_by_rules(base(spark, d)), truth(spark, d), s1_ids(spark, d))
 
 
 SCORED_TABLES = (RECORDS, BASE, RULE_OWNED, TRUTH, SCORES)
@@ -639,7 +642,7 @@ SELECT sum(n)::BIGINT AS pairs, count(*) AS with_candidates, floor(quantile_cont
   floor(quantile_cont(n, 0.95))::BIGINT AS p95, floor(quantile_cont(n, 0.99))::BIGINT AS p99, max(n) AS most, any_value(entities) AS entities,
   (sum(n) / any_value(entities))::DOUBLE AS mean, (sum(n) / count(*))::DOUBLE AS mean_with_candidates, 100 * count(*) / any_value(entities) AS coverage_pct FROM n, e"""))
 def pool_statistics(spark, d):
-    return metrics.pool_statistics(capped(spark, d), linkage.s1_ids(normalized(spark, d)[1]))
+    return metrics.pool_statistics(capped(spark, d), s1_ids(spark, d))
 
 
 @query(select(*CAPPED, TRUTH, last="SELECT count(*) AS true_pairs, count(r.s1_id) AS matched, 100 * count(r.s1_id) / count(*) AS recall_pct FROM truth LEFT JOIN ranked r USING (s1_id, cand_id)"))
@@ -654,7 +657,7 @@ SELECT k, 100 * coalesce(any_value(h), 0) / (SELECT count(*) FROM truth) AS reca
   floor(quantile_cont(least(n, k), 0.5))::BIGINT AS median, floor(quantile_cont(least(n, k), 0.9))::BIGINT AS p90
 FROM ks CROSS JOIN n LEFT JOIN h USING (k) GROUP BY k"""))
 def recall_at_k(spark, d):
-    return metrics.recall_at_k(capped(spark, d), truth(spark, d), linkage.s1_ids(normalized(spark, d)[1]))
+    return metrics.recall_at_k(capped(spark, d), truth(spark, d), s1_ids(spark, d))
 
 
 @query(select(RECORDS, BASE, TRUTH, last="SELECT * FROM truth ANTI JOIN (SELECT * FROM base WHERE R3 = 1) USING (s1_id, cand_id)"))
@@ -725,13 +728,13 @@ def average_precision(spark, d):
 @query(select(RECORDS, BASE, RULE_OWNED, last="""SELECT entity_id AS source1_entity_id, coalesce(string_agg(cand_id, ',' ORDER BY cand_id), '') AS matched_entity_ids
   FROM norm LEFT JOIN rule_owned ON s1_id = entity_id WHERE entity_id LIKE 'S1-%' GROUP BY entity_id"""))
 def match_file(spark, d):
-    return match_lists(linkage.s1_ids(normalized(spark, d)[1]), decision.one_owner_by_rules(base(spark, d)))
+    return match_lists(s1_ids(spark, d), decision.one_owner_by_rules(base(spark, d)))
 
 
 @query(select(*CAPPED, last="""SELECT entity_id AS source1_entity_id, coalesce(string_agg(cand_id, ',' ORDER BY rank), '') AS candidate_entity_ids
   FROM norm LEFT JOIN ranked ON s1_id = entity_id WHERE entity_id LIKE 'S1-%' GROUP BY entity_id"""))
 def candidate_file(spark, d):
-    return candidate_lists(linkage.s1_ids(normalized(spark, d)[1]), capped(spark, d))
+    return candidate_lists(s1_ids(spark, d), capped(spark, d))
 
 
 def result_rows(spark, d):
@@ -989,7 +992,7 @@ def unshared_tokens(spark, d):
 
 @query("SELECT f::INT AS fold, ((SELECT count(*) FROM part) + 4 - f) // 5 AS n FROM (SELECT unnest(range(5)) AS f)")
 def fold_sizes(spark, d):
-    return sampling.folds(linkage.s1_ids(normalized(spark, d)[1])).groupBy("fold").agg(F.count("*").alias("n"))
+    return sampling.folds(s1_ids(spark, d)).groupBy("fold").agg(F.count("*").alias("n"))
 
 
 S1_IDS = "SELECT 'S1-' || p_partkey AS s1_id FROM part"
@@ -997,17 +1000,17 @@ S1_IDS = "SELECT 'S1-' || p_partkey AS s1_id FROM part"
 
 @query(f"SELECT s1_id, ((row_number() OVER (ORDER BY md5('42:' || s1_id), s1_id) - 1) % 5)::INT AS fold FROM ({S1_IDS})")
 def fold_members(spark, d):
-    return sampling.folds(linkage.s1_ids(normalized(spark, d)[1]))
+    return sampling.folds(s1_ids(spark, d))
 
 
 @query(f"SELECT s1_id, ((row_number() OVER (ORDER BY md5('42:' || s1_id), s1_id) - 1) % 5 % 2)::INT AS fold FROM ({S1_IDS})")
 def fold_halves(spark, d):
-    return sampling.regrouped(sampling.folds(linkage.s1_ids(normalized(spark, d)[1])), 2)
+    return sampling.regrouped(sampling.folds(s1_ids(spark, d)), 2)
 
 
 @query(f"SELECT s1_id FROM ({S1_IDS}) ORDER BY md5('42:' || s1_id), s1_id LIMIT 1000")
 def dev_sample(spark, d):
-    return sampling.exact_sample(linkage.s1_ids(normalized(spark, d)[1]), "s1_id", 1000)
+    return sampling.exact_sample(s1_ids(spark, d), "s1_id", 1000)
 
 
 LOOK_ALIKE = """
@@ -1056,4 +1059,4 @@ SELECT method, a, b, avg({F_BETA}) AS macro_f05 FROM (
   SELECT g.method, g.a, g.b, i.n_true, coalesce(n_pred, 0) AS n_pred, coalesce(tp, 0) AS tp FROM (SELECT s1_id, count(*) AS n_true FROM truth GROUP BY s1_id) i CROSS JOIN grid g LEFT JOIN n USING (method, a, b, s1_id))
 GROUP BY ALL"""))
 def decision_settings(spark, d):
-    return matcher.decision_grid(scored(spark, d), linkage.s1_ids(table(spark, d, "part").selectExpr("concat('S1-', p_partkey) AS entity_id")), truth(spark, d))
+    return matcher.decision_grid(scored(spark, d), s1_ids(spark, d), truth(spark, d))
