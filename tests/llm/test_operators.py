@@ -64,6 +64,18 @@ def test_near_duplicates_match_brute_force(spark, near_copies, monkeypatch, smal
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_components_of_many_edges_send_no_labels(spark, monkeypatch):
+    """240,000 edges, 480,000 both ways, are joined by shuffle: their labels would fill a small driver."""
+
+    def sent(df):
+        raise AssertionError("labels of many edges were broadcast")
+
+    monkeypatch.setattr(graph.F, "broadcast", sent)
+    edges = spark.range(240_000).selectExpr("id * 2 AS a", "id * 2 + 1 AS b")
+    got = graph.components(edges)
+    assert got.count() == 480_000 and got.filter("label <> v - v % 2").isEmpty()
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(60)] + [(100 + rng.randrange(50), 100 + rng.randrange(50)) for _ in range(30)] + [(200, i) for i in range(201, 260)]
