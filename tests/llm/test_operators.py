@@ -7,8 +7,9 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from linkwright.llm import class_lm, decontaminate, graph, license_scan, linear, near_dups, packing, quality_classifier, quality_rules, sharding, text_stats, toxicity, url_filter
+from linkwright.llm import class_lm, common, decontaminate, graph, license_scan, linear, near_dups, packing, quality_classifier, quality_rules, sharding, text_stats, toxicity, url_filter
 
 DOCS = "doc_id long, text string"
 
@@ -76,6 +77,29 @@ def test_components_of_many_edges_send_no_labels(spark, monkeypatch):
     assert got.count() == 480_000 and got.filter("label <> v - v % 2").isEmpty()
 
 
+def test_many_ids_taken_out_send_nothing(spark):
+    """60,000 ids and the null one are taken out by shuffle: their table would fill a small driver."""
+    docs = spark.range(120_000).selectExpr("nullif(id, 7) AS doc_id", "'a b' AS text")
+    bad = docs.filter("doc_id % 2 = 0 OR doc_id IS NULL")
+    left = common.without_ids(docs, bad)
+    got = left.agg(F.count("*").alias("n"), F.sum(F.col("doc_id") % 2).alias("odd"))
+    assert got.first() == (59_999, 59_999)
+    assert "BroadcastHashJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    few = common.without_ids(docs, bad.filter("doc_id < 10 OR doc_id IS NULL"))
+    assert few.count() == 120_000 - 6
+
+
+@pytest.mark.parametrize(("most", "taken", "free", "collects"), [(750, 600, 500, True), (750, 400, 300, False), (750, 400, 100, True), (8000, 7000, 6000, False)])
+def test_a_small_heap_that_has_grown_is_collected(most, taken, free, collects):
+    from types import SimpleNamespace as Made
+
+    done = []
+    heap = Made(maxMemory=lambda: most << 20, totalMemory=lambda: taken << 20, freeMemory=lambda: free << 20)
+    lang = Made(Runtime=Made(getRuntime=lambda: heap), System=Made(gc=lambda: done.append(1)))
+    common.tidy(Made(_jvm=Made(java=Made(lang=lang))))
+    assert bool(done) == collects
+
+
 def test_components(spark):
     rng = random.Random(3)
     edges = [(i, i + 1) for i in range(60)] + [(100 + rng.randrange(50), 100 + rng.randrange(50)) for _ in range(30)] + [(200, i) for i in range(201, 260)]
